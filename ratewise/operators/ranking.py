@@ -77,3 +77,45 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     joined = join_small(tagged, summary.drop("_rw_cnt"), ["_rw_part", *group_cols], "inner")
     ranked = joined.withColumn(rank_col, F.col("_rw_pos") - F.col("_rw_first") + 1 + F.col("_rw_before"))
     return ranked.drop("_rw_part", "_rw_pos", "_rw_first", "_rw_before")
+
+
+def prefix_scan(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
+                num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` per group in ``order_col`` order, plus the next value.
+
+    Adds ``cum_<c>`` for every ``c`` in ``sum_cols`` and ``next_<order_col>``
+    (NULL for the last row of a group).  ``order_col`` must be unique within a
+    group (scan a table already grouped by it).  Same two-level layout as
+    ``rank_within``: range partitions split large groups, a window runs per
+    (partition, group) and the offsets of earlier partitions come from a
+    per-(partition, group) summary.
+    """
+    spark = df.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
+    tagged = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+              .withColumn("_ps_part", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    local = Window.partitionBy("_ps_part", *group_cols).orderBy(order_col)
+    upto = local.rowsBetween(Window.unboundedPreceding, 0)
+    scanned = tagged.select(
+        "*",
+        *[F.sum(c).over(upto).alias(f"_ps_loc_{c}") for c in sum_cols],
+        F.lead(order_col).over(local).alias("_ps_next"),
+    )
+    summary = tagged.groupBy("_ps_part", *group_cols).agg(
+        F.min(order_col).alias("_ps_min"), *[F.sum(c).alias(f"_ps_tot_{c}") for c in sum_cols])
+    over_parts = Window.partitionBy(*group_cols).orderBy("_ps_part")
+    before = over_parts.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(
+        "_ps_part", *group_cols,
+        F.lead("_ps_min").over(over_parts).alias("_ps_next_part_min"),
+        *[F.coalesce(F.sum(f"_ps_tot_{c}").over(before), F.lit(0)).alias(f"_ps_off_{c}") for c in sum_cols],
+    )
+    joined = join_small(scanned, summary, ["_ps_part", *group_cols], "inner")
+    out = joined.select(
+        *df.columns,
+        *[(F.col(f"_ps_loc_{c}") + F.col(f"_ps_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        F.coalesce("_ps_next", "_ps_next_part_min").alias(f"next_{order_col}"),
+    )
+    return out

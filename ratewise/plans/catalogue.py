@@ -18,7 +18,17 @@ from ratewise.operators.features import feature_table as build_feature_table
 from ratewise.operators.features import movie_dimension, rating_stats
 from ratewise.operators.metrics import precision_recall_at_k, rating_errors
 from ratewise.operators.split import relevant_items, seen_items, split_frames, tag_temporal_split
+from ratewise.models.blocked import topk_dot
+from ratewise.models.evaluation import popularity_sweep
+from ratewise.operators.concentration import concentration, item_frequency
+from ratewise.operators.drift import FEATURES, column_tests, current_population, drift_status
+from ratewise.operators.requests import (error_rate, latency_quantiles, request_rate, request_volume,
+                                         validate_requests)
+from ratewise.operators.runs import best_run, latest_per_family
+from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
+from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.plans import bridge as B
+from ratewise.sources.eventlog import parse_event_lines
 
 R = 6  # digits kept for doubles
 MIN_RATINGS = 20
@@ -152,6 +162,140 @@ def popularity_ranking_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return m.select(_r(f"precision_at_{TOP_K}"), _r(f"recall_at_{TOP_K}"), "n_users")
 
 
+
+# -- event log, concentration, drift -------------------------------------------------------
+
+def _events(spark, sf):
+    return parse_event_lines(B.event_log_json(spark, sf))
+
+
+def _item_stats(spark, sf):
+    """L1: one stats row per item, read back from the wide feature table."""
+    return C.stats_per_item(_features(spark, sf))
+
+
+def rec_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return item_frequency(_events(spark, sf))
+
+
+def rec_concentration(spark: SparkSession, sf: str) -> DataFrame:
+    c = concentration(item_frequency(_events(spark, sf)))
+    return c.select("total", "distinct_items", "top_count", _r("top_movie_share"))
+
+
+def drift_populations(spark: SparkSession, sf: str) -> DataFrame:
+    stats = _item_stats(spark, sf)
+    cur = current_population(_events(spark, sf), stats)
+    ref = stats.select(*FEATURES)
+    out = ref.withColumn("origin", F.lit("reference")).unionByName(cur.withColumn("origin", F.lit("current")))
+    return out.select("origin", "movie_rating_count", _r("movie_avg_rating"))
+
+
+def _drift_tests(spark, sf):
+    stats = _item_stats(spark, sf)
+    return column_tests(stats.select(*FEATURES), current_population(_events(spark, sf), stats))
+
+
+def drift_ks(spark: SparkSession, sf: str) -> DataFrame:
+    t = _drift_tests(spark, sf)
+    return t.select("feature", "n_ref", "n_cur", _r("ks"), _r("ks_pvalue"))
+
+
+def drift_wasserstein(spark: SparkSession, sf: str) -> DataFrame:
+    t = _drift_tests(spark, sf)
+    return t.select("feature", _r("wasserstein"), _r("wasserstein_norm"), "method", "drifted")
+
+
+def drift_psi(spark: SparkSession, sf: str) -> DataFrame:
+    t = _drift_tests(spark, sf)
+    return t.select("feature", _r("psi"))
+
+
+def drift_status_report(spark: SparkSession, sf: str) -> DataFrame:
+    st = drift_status(_drift_tests(spark, sf))
+    return st.select("dataset_drift", _r("drift_share"), "number_of_drifted_columns", "n_samples", "status")
+
+
+def monitoring_snapshot_report(spark: SparkSession, sf: str) -> DataFrame:
+    drift = drift_status(_drift_tests(spark, sf))
+    freq = concentration(item_frequency(_events(spark, sf)))
+    snap = monitoring_snapshot(spark, drift, freq)
+    return snap.select("dataset_drift", _r("drift_share"), "drift_samples", _r("top_movie_share"))
+
+
+# -- requests and serving --------------------------------------------------------------------
+
+def request_validation(spark: SparkSession, sf: str) -> DataFrame:
+    v = validate_requests(B.requests(spark, sf))
+    return v.select("event_id", "user_id", "k", "valid", "reason")
+
+
+def request_rate_q(spark: SparkSession, sf: str) -> DataFrame:
+    r = request_rate(B.requests(spark, sf))
+    return r.select("window_start", "window_end", "handler", "requests", _r("rate_per_s"))
+
+
+def error_rate_q(spark: SparkSession, sf: str) -> DataFrame:
+    r = error_rate(B.requests(spark, sf))
+    return r.select("window_start", "window_end", "status", "errors", _r("rate_per_s"))
+
+
+def latency_quantiles_q(spark: SparkSession, sf: str) -> DataFrame:
+    r = latency_quantiles(B.requests(spark, sf))
+    return r.select("window_start", "window_end", "requests", _r("p50_ms"), _r("p95_ms"))
+
+
+def request_volume_q(spark: SparkSession, sf: str) -> DataFrame:
+    return request_volume(B.requests(spark, sf))
+
+
+def title_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    served = ranked_positions(_events(spark, sf).select("timestamp", "user_id", "movie_ids"))
+    out = with_titles(served, B.items(spark, sf))
+    return out.select("timestamp", "user_id", "rank", "movie_id", "title")
+
+
+def batch_serve(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid requests served by the popularity model fit on all clean ratings (no exclusion)."""
+    reqs = validate_requests(B.requests(spark, sf)).filter("valid").select("event_id", "user_id", "k")
+    model = PopularityModel.fit(B.clean(spark, sf), min_ratings=MIN_RATINGS)
+    served = serve_from_ranking(reqs, model.ranking().select("movie_id", "pos"))
+    out = with_titles(served, B.items(spark, sf))
+    return out.select("event_id", "user_id", "k", "rank", "movie_id", "title")
+
+
+def factor_topk(spark: SparkSession, sf: str) -> DataFrame:
+    users, items = B.factors(spark, sf)
+    top = topk_dot(users, items, TOP_K)
+    return top.select("user_id", "item_id", "rank", _r("score"))
+
+
+# -- model runs ------------------------------------------------------------------------------
+
+SWEEP = (1, 5, 10, 20, 40)
+
+
+def _runs(spark, sf):
+    train, test = _split(spark, sf)
+    return popularity_sweep(train, test, SWEEP, TOP_K)
+
+
+def evaluation_runs(spark: SparkSession, sf: str) -> DataFrame:
+    r = _runs(spark, sf)
+    return r.select("run_id", "family", "start_time", "min_ratings", _r("precision_at_10"), _r("recall_at_10"),
+                    _r("rmse"), _r("mae"))
+
+
+def latest_run_per_family(spark: SparkSession, sf: str) -> DataFrame:
+    r = latest_per_family(_runs(spark, sf))
+    return r.select("run_id", "family", "start_time", _r("recall_at_10"))
+
+
+def best_model(spark: SparkSession, sf: str) -> DataFrame:
+    r = best_run(latest_per_family(_runs(spark, sf)))
+    return r.select("run_id", "family", _r("recall_at_10"))
+
+
 CATALOGUE = {
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
@@ -170,4 +314,23 @@ CATALOGUE = {
     "popularity_recommend": popularity_recommend,
     "popularity_rating_error": popularity_rating_error,
     "popularity_ranking_metrics": popularity_ranking_metrics,
+    "rec_frequency": rec_frequency,
+    "rec_concentration": rec_concentration,
+    "drift_populations": drift_populations,
+    "drift_ks": drift_ks,
+    "drift_wasserstein": drift_wasserstein,
+    "drift_psi": drift_psi,
+    "drift_status": drift_status_report,
+    "monitoring_snapshot": monitoring_snapshot_report,
+    "request_validation": request_validation,
+    "request_rate": request_rate_q,
+    "error_rate": error_rate_q,
+    "latency_quantiles": latency_quantiles_q,
+    "request_volume": request_volume_q,
+    "title_lookup": title_lookup,
+    "batch_serve": batch_serve,
+    "factor_topk": factor_topk,
+    "evaluation_runs": evaluation_runs,
+    "latest_run_per_family": latest_run_per_family,
+    "best_model": best_model,
 }

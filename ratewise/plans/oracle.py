@@ -198,3 +198,245 @@ FROM (
   LEFT JOIN (SELECT user_id, count(*) AS n_recs FROM pop_recs GROUP BY user_id) b USING (user_id)
   LEFT JOIN (SELECT r.user_id, count(*) AS hits FROM pop_recs r JOIN rel USING (user_id, movie_id)
              GROUP BY r.user_id) c USING (user_id))""", "rel", "pop_recs")
+
+
+# -- event log, concentration, drift -----------------------------------------------------
+
+cte("events_log", """
+SELECT CAST(epoch(o.o_orderdate) AS DOUBLE) AS "timestamp", o.o_custkey AS user_id,
+       list_sort(list(l.l_partkey)) AS movie_ids
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey""")
+
+cte("rec_ids", "SELECT unnest(movie_ids) AS movie_id FROM events_log", ["events_log"])
+
+cte("mstats", """
+SELECT movie_id, min(movie_rating_count) AS movie_rating_count, min(movie_avg_rating) AS movie_avg_rating
+FROM features GROUP BY movie_id""", ["features"])
+
+cte("cur_pop", """
+SELECT s.movie_rating_count, s.movie_avg_rating FROM rec_ids r JOIN mstats s USING (movie_id)""",
+    ["rec_ids", "mstats"])
+
+cte("freq", "SELECT movie_id, count(*) AS count FROM rec_ids GROUP BY movie_id", ["rec_ids"])
+
+cte("conc", """
+SELECT CAST(coalesce(sum(count), 0) AS BIGINT) AS total, count(*) AS distinct_items,
+       CAST(coalesce(max(count), 0) AS BIGINT) AS top_count,
+       CASE WHEN coalesce(sum(count), 0) > 0 THEN max(count) / sum(count) ELSE 0.0 END AS top_movie_share
+FROM freq""", ["freq"])
+
+cte("pops", """
+SELECT 'movie_rating_count' AS feature, CAST(movie_rating_count AS DOUBLE) AS value, 'ref' AS origin FROM mstats
+UNION ALL SELECT 'movie_avg_rating', movie_avg_rating, 'ref' FROM mstats
+UNION ALL SELECT 'movie_rating_count', CAST(movie_rating_count AS DOUBLE), 'cur' FROM cur_pop
+UNION ALL SELECT 'movie_avg_rating', movie_avg_rating, 'cur' FROM cur_pop""", ["mstats", "cur_pop"])
+
+cte("drift_totals", """
+SELECT feature, count(*) FILTER (WHERE origin = 'ref') AS n_ref, count(*) FILTER (WHERE origin = 'cur') AS n_cur,
+       stddev_pop(value) FILTER (WHERE origin = 'ref') AS ref_std,
+       min(value) FILTER (WHERE origin = 'ref') AS ref_min, max(value) FILTER (WHERE origin = 'ref') AS ref_max
+FROM pops GROUP BY feature""", ["pops"])
+
+cte("drift_pv", """
+SELECT s.feature, t.n_ref, t.n_cur, t.ref_std, s.r, s.c,
+       abs(s.cum_r / t.n_ref - s.cum_c / t.n_cur) AS gap,
+       abs(s.cum_r / t.n_ref - s.cum_c / t.n_cur) * coalesce(s.next_value - s.value, 0.0) AS area,
+       CASE WHEN t.ref_max - t.ref_min > 0
+            THEN least(9, greatest(0, floor((s.value - t.ref_min) / (t.ref_max - t.ref_min) * 10))) ELSE 0 END AS bin
+FROM (SELECT feature, value, r, c,
+             sum(r) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum_r,
+             sum(c) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum_c,
+             lead(value) OVER (PARTITION BY feature ORDER BY value) AS next_value
+      FROM (SELECT feature, value, count(*) FILTER (WHERE origin = 'ref') AS r,
+                   count(*) FILTER (WHERE origin = 'cur') AS c
+            FROM pops GROUP BY feature, value)) s
+JOIN drift_totals t USING (feature)""", ["pops", "drift_totals"])
+
+cte("drift_tests", """
+SELECT feature, n_ref, n_cur, ks,
+       CASE WHEN lam < 0.2 THEN 1.0
+            ELSE least(1.0, greatest(0.0, 2.0 * (SELECT sum(power(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))
+                                                 FROM range(1, 101) rr(j)))) END AS ks_pvalue,
+       wasserstein,
+       CASE WHEN ref_std > 0 THEN wasserstein / ref_std ELSE wasserstein END AS wasserstein_norm,
+       coalesce(psi, 0.0) AS psi,
+       CASE WHEN n_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END AS method
+FROM (
+  SELECT a.*, p.psi,
+         (sqrt(a.n_ref * a.n_cur / (a.n_ref + a.n_cur)) + 0.12
+          + 0.11 / sqrt(a.n_ref * a.n_cur / (a.n_ref + a.n_cur))) * a.ks AS lam
+  FROM (SELECT feature, any_value(n_ref) AS n_ref, any_value(n_cur) AS n_cur, max(gap) AS ks,
+               sum(area) AS wasserstein, any_value(ref_std) AS ref_std
+        FROM drift_pv GROUP BY feature) a
+  LEFT JOIN (SELECT feature, sum((pc - pr) * ln(pc / pr)) AS psi FROM (
+               SELECT feature, greatest(sum(r) / any_value(n_ref), 1e-4) AS pr,
+                      greatest(sum(c) / any_value(n_cur), 1e-4) AS pc
+               FROM drift_pv GROUP BY feature, bin) GROUP BY feature) p USING (feature))""", ["drift_pv"])
+
+cte("drift_verdicts", """
+SELECT *, (CASE WHEN method = 'ks' THEN ks_pvalue < 0.05 ELSE wasserstein_norm >= 0.1 END) AND n_cur > 0 AS drifted
+FROM drift_tests""", ["drift_tests"])
+
+cte("drift_state", """
+SELECT CASE WHEN n_samples >= 30 THEN n_drifted / 2.0 >= 0.5 ELSE false END AS dataset_drift,
+       CASE WHEN n_samples >= 30 THEN n_drifted / 2.0 ELSE 0.0 END AS drift_share,
+       CAST(CASE WHEN n_samples >= 30 THEN n_drifted ELSE 0 END AS INTEGER) AS number_of_drifted_columns,
+       n_samples,
+       CASE WHEN n_samples >= 30 THEN 'ok' ELSE 'insufficient_data' END AS status
+FROM (SELECT CAST(coalesce(max(n_cur), 0) AS BIGINT) AS n_samples, count(*) FILTER (WHERE drifted) AS n_drifted
+      FROM drift_verdicts)""", ["drift_verdicts"])
+
+SQL["rec_frequency"] = with_ctes("SELECT * FROM freq", "freq")
+SQL["rec_concentration"] = with_ctes(
+    "SELECT total, distinct_items, top_count, round(top_movie_share, 6) AS top_movie_share FROM conc", "conc")
+SQL["drift_populations"] = with_ctes("""
+SELECT 'reference' AS origin, movie_rating_count, round(movie_avg_rating, 6) AS movie_avg_rating FROM mstats
+UNION ALL
+SELECT 'current', movie_rating_count, round(movie_avg_rating, 6) FROM cur_pop""", "mstats", "cur_pop")
+SQL["drift_ks"] = with_ctes(
+    "SELECT feature, n_ref, n_cur, round(ks, 6) AS ks, round(ks_pvalue, 6) AS ks_pvalue FROM drift_verdicts",
+    "drift_verdicts")
+SQL["drift_wasserstein"] = with_ctes("""
+SELECT feature, round(wasserstein, 6) AS wasserstein, round(wasserstein_norm, 6) AS wasserstein_norm,
+       method, drifted FROM drift_verdicts""", "drift_verdicts")
+SQL["drift_psi"] = with_ctes("SELECT feature, round(psi, 6) AS psi FROM drift_verdicts", "drift_verdicts")
+SQL["drift_status"] = with_ctes("""
+SELECT dataset_drift, round(drift_share, 6) AS drift_share, number_of_drifted_columns, n_samples, status
+FROM drift_state""", "drift_state")
+SQL["monitoring_snapshot"] = with_ctes("""
+SELECT CAST(CASE WHEN d.dataset_drift THEN 1 ELSE 0 END AS INTEGER) AS dataset_drift,
+       round(d.drift_share, 6) AS drift_share, d.n_samples AS drift_samples,
+       round(c.top_movie_share, 6) AS top_movie_share
+FROM drift_state d, conc c""", "drift_state", "conc")
+
+# -- requests and serving ----------------------------------------------------------------
+
+cte("requests", """
+SELECT event_id, ts, user_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       value AS latency_ms, event_type AS handler, event_type = 'error' AS is_error
+FROM events""")
+
+cte("checked", """
+SELECT * REPLACE (CAST(coalesce(k, 10) AS INTEGER) AS k),
+       coalesce(k, 10) BETWEEN 1 AND 100 AS valid,
+       CASE WHEN coalesce(k, 10) BETWEEN 1 AND 100 THEN 'ok' ELSE 'k must be between 1 and 100' END AS reason,
+       CASE WHEN NOT (coalesce(k, 10) BETWEEN 1 AND 100) THEN '4xx' WHEN is_error THEN '5xx' ELSE '2xx' END AS status
+FROM requests""", ["requests"])
+
+SQL["request_validation"] = with_ctes("SELECT event_id, user_id, k, valid, reason FROM checked", "checked")
+
+SQL["request_rate"] = with_ctes("""
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+       time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+       handler, count(*) AS requests, round(count(*) / 60.0, 6) AS rate_per_s
+FROM requests GROUP BY 1, 2, 3""", "requests")
+
+SQL["error_rate"] = with_ctes("""
+SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+       time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+       status, count(*) AS errors, round(count(*) / 60.0, 6) AS rate_per_s
+FROM checked WHERE status <> '2xx' GROUP BY 1, 2, 3""", "checked")
+
+SQL["latency_quantiles"] = with_ctes("""
+SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
+       time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS window_end,
+       count(*) AS requests, round(quantile_disc(latency_ms, 0.5), 6) AS p50_ms,
+       round(quantile_disc(latency_ms, 0.95), 6) AS p95_ms
+FROM requests GROUP BY 1, 2""", "requests")
+
+SQL["request_volume"] = with_ctes("""
+SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
+       time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS window_end,
+       count(*) AS requests, count(*) FILTER (WHERE valid) AS served_requests,
+       CAST(coalesce(sum(k) FILTER (WHERE valid), 0) AS BIGINT) AS recommended_items
+FROM checked GROUP BY 1, 2""", "checked")
+
+SQL["title_lookup"] = with_ctes("""
+SELECT e."timestamp", e.user_id, CAST(x.rank AS INTEGER) AS rank, x.movie_id,
+       coalesce(i.title, 'Unknown title') AS title
+FROM events_log e,
+     LATERAL (SELECT unnest(e.movie_ids) AS movie_id, unnest(range(1, len(e.movie_ids) + 1)) AS rank) x
+LEFT JOIN items i ON i.movie_id = x.movie_id""", "events_log", "items")
+
+cte("pop_all", """
+SELECT movie_id, row_number() OVER (ORDER BY mean DESC, movie_id) AS pos
+FROM (SELECT movie_id, avg(rating) AS mean, count(*) AS cnt FROM clean GROUP BY movie_id) WHERE cnt >= 20""",
+    ["clean"])
+
+SQL["batch_serve"] = with_ctes("""
+SELECT c.event_id, c.user_id, c.k, CAST(p.pos AS INTEGER) AS rank, p.movie_id,
+       coalesce(i.title, 'Unknown title') AS title
+FROM checked c JOIN pop_all p ON p.pos <= c.k
+LEFT JOIN items i ON i.movie_id = p.movie_id
+WHERE c.valid""", "checked", "pop_all", "items")
+
+SQL["factor_topk"] = """
+SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM (
+  SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+         list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score,
+         row_number() OVER (PARTITION BY u.vec_id
+                            ORDER BY list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) DESC,
+                                     i.vec_id) AS rank
+  FROM embeddings u, embeddings i WHERE u.vec_id < 10 AND i.vec_id >= 10)
+WHERE rank <= 10"""
+
+# -- model runs ---------------------------------------------------------------------------
+
+
+def _pop_run(m: int) -> str:
+    return f"""
+  SELECT {m} AS min_ratings,
+         (SELECT coalesce(avg(CASE WHEN n_recs > 0 THEN hits / n_recs ELSE 0.0 END), 0.0) FROM per_{m}) AS precision_at_10,
+         (SELECT coalesce(avg(hits / n_relevant), 0.0) FROM per_{m}) AS recall_at_10,
+         (SELECT sqrt(avg(power(t.rating - coalesce(im.m, gm.g), 2)))
+            FROM test t LEFT JOIN (SELECT movie_id, avg(rating) AS m FROM train GROUP BY movie_id) im USING (movie_id)
+            CROSS JOIN (SELECT avg(rating) AS g FROM train) gm) AS rmse,
+         (SELECT avg(abs(t.rating - coalesce(im.m, gm.g)))
+            FROM test t LEFT JOIN (SELECT movie_id, avg(rating) AS m FROM train GROUP BY movie_id) im USING (movie_id)
+            CROSS JOIN (SELECT avg(rating) AS g FROM train) gm) AS mae"""
+
+
+def _pop_per(m: int) -> str:
+    return f"""per_{m} AS (
+  WITH pt AS (SELECT movie_id, mean, row_number() OVER (ORDER BY mean DESC, movie_id) AS pos
+              FROM (SELECT movie_id, avg(rating) AS mean, count(*) AS cnt FROM train GROUP BY movie_id)
+              WHERE cnt >= {m}),
+       recs AS (SELECT user_id, movie_id FROM (
+                  SELECT u.user_id, p.movie_id,
+                         row_number() OVER (PARTITION BY u.user_id ORDER BY p.pos) AS rank_
+                  FROM (SELECT DISTINCT user_id FROM rel) u CROSS JOIN pt p
+                  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.movie_id = p.movie_id))
+                WHERE rank_ <= 10)
+  SELECT a.user_id, a.n_relevant, coalesce(b.n_recs, 0) AS n_recs, coalesce(c.hits, 0) AS hits
+  FROM (SELECT user_id, count(*) AS n_relevant FROM rel GROUP BY user_id) a
+  LEFT JOIN (SELECT user_id, count(*) AS n_recs FROM recs GROUP BY user_id) b USING (user_id)
+  LEFT JOIN (SELECT r.user_id, count(*) AS hits FROM recs r JOIN rel USING (user_id, movie_id)
+             GROUP BY r.user_id) c USING (user_id))"""
+
+
+SWEEP = (1, 5, 10, 20, 40)
+_runs_body = " UNION ALL ".join(
+    f"SELECT 'run-{i:03d}' AS run_id, 'popularity_baseline' AS family, CAST({i} AS BIGINT) AS start_time, *"
+    f" FROM ({_pop_run(m)})" for i, m in enumerate(SWEEP))
+_runs_sql = with_ctes("SELECT 1", "rel", "train", "test").replace("\nSELECT 1", "")
+_runs_ctes = _runs_sql + ",\n" + ",\n".join(_pop_per(m) for m in SWEEP) + \
+    f",\nruns AS ({_runs_body})\n"
+
+SQL["evaluation_runs"] = _runs_ctes + """
+SELECT run_id, family, start_time, CAST(min_ratings AS INTEGER) AS min_ratings,
+       round(precision_at_10, 6) AS precision_at_10, round(recall_at_10, 6) AS recall_at_10,
+       round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM runs"""
+
+SQL["latest_run_per_family"] = _runs_ctes + """
+SELECT run_id, family, start_time, round(recall_at_10, 6) AS recall_at_10 FROM (
+  SELECT *, row_number() OVER (PARTITION BY family ORDER BY start_time DESC, run_id DESC) AS rn_
+  FROM (SELECT * FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 50) WHERE family IS NOT NULL)
+WHERE rn_ = 1"""
+
+SQL["best_model"] = _runs_ctes + """
+SELECT run_id, family, round(recall_at_10, 6) AS recall_at_10 FROM (
+  SELECT *, row_number() OVER (PARTITION BY family ORDER BY start_time DESC, run_id DESC) AS rn_
+  FROM (SELECT * FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 50) WHERE family IS NOT NULL)
+WHERE rn_ = 1 AND recall_at_10 IS NOT NULL
+ORDER BY recall_at_10 DESC, start_time DESC, run_id DESC LIMIT 1"""
