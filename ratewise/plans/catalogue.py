@@ -6,6 +6,8 @@ are rounded to 6 digits so the DuckDB oracle can be compared by value hash.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,11 @@ from ratewise.operators.runs import best_run, latest_per_family
 from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
 from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.plans import bridge as B
-from ratewise.sources.eventlog import parse_event_lines
+from ratewise.session import ensure_checkpoint_dir
+from ratewise.sources.eventlog import parse_event_lines, read_event_log
+from ratewise.sources.manifest import file_manifest
+from ratewise.streaming.drain import drain
+from ratewise.streaming.windows import run_to_parquet, windowed_request_rate
 
 R = 6  # digits kept for doubles
 MIN_RATINGS = 20
@@ -296,6 +302,39 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("run_id", "family", _r("recall_at_10"))
 
 
+
+# -- streaming and manifests -----------------------------------------------------------------
+
+def _scratch(spark, tag):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def stream_drain(spark: SparkSession, sf: str) -> DataFrame:
+    """The bridge's event log as JSON files -> availableNow drain -> log, read back."""
+    base = _scratch(spark, "drain")
+    B.event_log_json(spark, sf).write.text(f"{base}/in")
+    drain(spark, f"{base}/log", fmt="text", path=f"{base}/in", checkpoint=f"{base}/ckpt")
+    log = read_event_log(spark, f"{base}/log")
+    return log.select("timestamp", "user_id", "k", "num_recommendations", "movie_ids", _r("latency_ms"))
+
+
+def stream_request_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests as a file stream -> 1-minute windows, 10-minute watermark -> closed windows."""
+    base = _scratch(spark, "reqstream")
+    reqs = B.requests(spark, sf)
+    reqs.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(reqs.schema).parquet(f"{base}/in")
+    run_to_parquet(spark, windowed_request_rate(stream), f"{base}/out", checkpoint=f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "handler", "requests", _r("rate_per_s"))
+
+
+def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return file_manifest(spark, sf, "*.parquet")
+
+
 CATALOGUE = {
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
@@ -333,4 +372,7 @@ CATALOGUE = {
     "evaluation_runs": evaluation_runs,
     "latest_run_per_family": latest_run_per_family,
     "best_model": best_model,
+    "stream_drain": stream_drain,
+    "stream_request_rate": stream_request_rate,
+    "dataset_manifest": dataset_manifest,
 }

@@ -204,9 +204,10 @@ FROM (
 
 cte("events_log", """
 SELECT CAST(epoch(o.o_orderdate) AS DOUBLE) AS "timestamp", o.o_custkey AS user_id,
-       list_sort(list(l.l_partkey)) AS movie_ids
+       CAST(count(*) AS INTEGER) AS k, CAST(count(*) AS INTEGER) AS num_recommendations,
+       list_sort(list(l.l_partkey)) AS movie_ids, o.o_totalprice / 1000 AS latency_ms
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey""")
+GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey, o.o_totalprice""")
 
 cte("rec_ids", "SELECT unnest(movie_ids) AS movie_id FROM events_log", ["events_log"])
 
@@ -440,3 +441,23 @@ SELECT run_id, family, round(recall_at_10, 6) AS recall_at_10 FROM (
   FROM (SELECT * FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 50) WHERE family IS NOT NULL)
 WHERE rn_ = 1 AND recall_at_10 IS NOT NULL
 ORDER BY recall_at_10 DESC, start_time DESC, run_id DESC LIMIT 1"""
+
+
+# -- streaming and manifests ---------------------------------------------------------------
+
+SQL["stream_drain"] = with_ctes("""
+SELECT "timestamp", user_id, k, num_recommendations, movie_ids, round(latency_ms, 6) AS latency_ms
+FROM events_log""", "events_log")
+
+SQL["stream_request_rate"] = with_ctes("""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+         time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+         handler, count(*) AS requests, round(count(*) / 60.0, 6) AS rate_per_s
+  FROM requests GROUP BY 1, 2, 3)
+WHERE window_end <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'""", "requests")
+
+# The driver checks at sf0.01; the manifest reads the table files themselves.
+SQL["dataset_manifest"] = """
+SELECT regexp_extract(filename, '([^/]+)$', 1) AS file, size AS bytes, md5(content) AS md5
+FROM read_blob('/root/testdata/sf0.01/*.parquet')"""
