@@ -21,7 +21,10 @@ from ratewise.operators.features import movie_dimension, rating_stats
 from ratewise.operators.metrics import precision_recall_at_k, rating_errors
 from ratewise.operators.split import relevant_items, seen_items, split_frames, tag_temporal_split
 from ratewise.models.blocked import topk_dot
-from ratewise.models.evaluation import popularity_sweep
+from ratewise.models.als import fit_implicit_als
+from ratewise.models.biased_mf import fit_biased_mf
+from ratewise.models.bpr import fit_bpr
+from ratewise.models.evaluation import evaluate_families, popularity_sweep
 from ratewise.operators.concentration import concentration, item_frequency
 from ratewise.operators.drift import FEATURES, column_tests, current_population, drift_status
 from ratewise.operators.requests import (error_rate, latency_quantiles, request_rate, request_volume,
@@ -335,6 +338,49 @@ def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return file_manifest(spark, sf, "*.parquet")
 
 
+
+# -- factor models (solver-dependent values: row checks only) ----------------------------------
+
+def _split_cached(spark, sf):
+    train, test = _split(spark, sf)
+    return train.checkpoint(eager=True), test.checkpoint(eager=True)
+
+
+def _recommend_with(model, train, test):
+    rel = relevant_items(test)
+    recs = model.recommend(rel.select("user_id").distinct(), TOP_K, seen=seen_items(train))
+    return recs.select("user_id", "movie_id", "rank", _r("score"))
+
+
+def als_recommend(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split_cached(spark, sf)
+    return _recommend_with(fit_implicit_als(train), train, test)
+
+
+def mf_recommend(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split_cached(spark, sf)
+    return _recommend_with(fit_biased_mf(train), train, test)
+
+
+def mf_rating_error(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split_cached(spark, sf)
+    err = rating_errors(fit_biased_mf(train).predict(test.select("user_id", "movie_id", "rating")))
+    return err.select(_r("rmse"), _r("mae"), "n")
+
+
+def bpr_recommend(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split_cached(spark, sf)
+    return _recommend_with(fit_bpr(train), train, test)
+
+
+def model_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """All four families on one split -> runs table -> latest per family -> best by recall@10."""
+    train, test = _split_cached(spark, sf)
+    runs = evaluate_families(train, test, TOP_K)
+    return runs.select("run_id", "family", _r("precision_at_10"), _r("recall_at_10"), _r("rmse"), _r("mae"),
+                       "selected")
+
+
 CATALOGUE = {
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
@@ -375,4 +421,9 @@ CATALOGUE = {
     "stream_drain": stream_drain,
     "stream_request_rate": stream_request_rate,
     "dataset_manifest": dataset_manifest,
+    "als_recommend": als_recommend,
+    "mf_recommend": mf_recommend,
+    "mf_rating_error": mf_rating_error,
+    "bpr_recommend": bpr_recommend,
+    "model_selection": model_selection,
 }
