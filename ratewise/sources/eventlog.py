@@ -36,7 +36,9 @@ def read_event_log(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
             raise
     df = df.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
     if mode == "PERMISSIVE" and not keep_corrupt:
-        df = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+        # the size() term keeps a parsed column in the scan: Spark refuses scans
+        # whose only referenced column is the corrupt-record column
+        df = df.filter(F.col("_corrupt_record").isNull() & (F.size("movie_ids") >= 0)).drop("_corrupt_record")
     return df
 
 
@@ -48,9 +50,12 @@ def parse_event_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def corrupt_count(spark: SparkSession, path: str) -> DataFrame:
-    """One row: number of lines that did not parse."""
+    """One row: lines, parsed lines and lines that did not parse."""
     df = read_event_log(spark, path, keep_corrupt=True)
-    return df.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt_lines"))
+    bad = F.col("_corrupt_record").isNotNull()
+    return df.agg(F.count(F.lit(1)).alias("lines"),
+                  F.count_if(~bad & (F.col("user_id").isNotNull() | (F.size("movie_ids") > 0))).alias("parsed_lines"),
+                  F.count_if(bad).alias("corrupt_lines"))
 
 
 def recommended_ids(events: DataFrame, item_col: str = "movie_id") -> DataFrame:
