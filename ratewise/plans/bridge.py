@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.json import event_json
 from ratewise.functions.time import epoch_seconds
-from ratewise.operators.clean import clean_ratings
+from ratewise.operators.clean import drop_incomplete, first_per_key, in_range
 
 # The words that make up part names, used as the tag vocabulary.
 PART_TAGS = [
@@ -51,7 +51,8 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First interaction per (user, item) by (time, order, line, quantity); 1 <= rating <= 5."""
-    deduped, _, _ = clean_ratings(interactions(spark, sf_dir), order_cols=DEDUPE_ORDER)
+    valid = in_range(drop_incomplete(interactions(spark, sf_dir)), "rating", 1, 5)
+    deduped = first_per_key(valid, ["user_id", "movie_id"], DEDUPE_ORDER)
     return deduped.select("user_id", "movie_id", "rating", "timestamp")
 
 

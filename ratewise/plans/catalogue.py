@@ -32,6 +32,7 @@ from ratewise.operators.requests import (error_rate, latency_quantiles, request_
 from ratewise.operators.runs import best_run, latest_per_family
 from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
 from ratewise.operators.snapshot import monitoring_snapshot
+from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
 from ratewise.session import ensure_checkpoint_dir
 from ratewise.sources.eventlog import parse_event_lines, read_event_log
@@ -381,6 +382,13 @@ def model_selection(spark: SparkSession, sf: str) -> DataFrame:
                        "selected")
 
 
+
+def bm25_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = _split(spark, sf)
+    w = bm25_weights(train)
+    return w.select("user_id", "movie_id", "rating", _r("weight"))
+
+
 CATALOGUE = {
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
@@ -426,4 +434,5 @@ CATALOGUE = {
     "mf_rating_error": mf_rating_error,
     "bpr_recommend": bpr_recommend,
     "model_selection": model_selection,
+    "bm25_confidence": bm25_confidence,
 }

@@ -461,3 +461,15 @@ WHERE window_end <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'""", "
 SQL["dataset_manifest"] = """
 SELECT regexp_extract(filename, '([^/]+)$', 1) AS file, size AS bytes, md5(content) AS md5
 FROM read_blob('/root/testdata/sf0.01/*.parquet')"""
+
+
+SQL["bm25_confidence"] = with_ctes("""
+SELECT t.user_id, t.movie_id, t.rating,
+       round((ln(n.n_users) - ln(1 + i.df_)) * t.rating * 101.0
+             / (t.rating + 100.0 * (0.2 + 0.8 * u.len_ / a.avg_len)), 6) AS weight
+FROM train t
+JOIN (SELECT movie_id, count(DISTINCT user_id) AS df_ FROM train GROUP BY movie_id) i USING (movie_id)
+JOIN (SELECT user_id, sum(rating) AS len_ FROM train GROUP BY user_id) u USING (user_id)
+CROSS JOIN (SELECT count(DISTINCT user_id) AS n_users FROM train) n
+CROSS JOIN (SELECT avg(len_) AS avg_len FROM (SELECT sum(rating) AS len_ FROM train GROUP BY user_id)) a""",
+    "train")
