@@ -62,16 +62,22 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
     """One row per feature: sizes, ks, ks_pvalue, wasserstein, wasserstein_norm, psi, method, drifted."""
     both = _long(reference, "ref", features).unionByName(_long(current, "cur", features))
     is_ref = F.col("origin") == "ref"
+    # the two populations are read once, into the value-grouped table; every
+    # later step works on that (persisted inside prefix_scan)
     by_value = both.groupBy("feature", "value").agg(
         F.count_if(is_ref).alias("r"), F.count_if(~is_ref).alias("c"))
-    totals = both.groupBy("feature").agg(
-        F.count_if(is_ref).alias("n_ref"), F.count_if(~is_ref).alias("n_cur"),
-        F.stddev_pop(F.when(is_ref, F.col("value"))).alias("ref_std"),
-        F.min(F.when(is_ref, F.col("value"))).alias("ref_min"),
-        F.max(F.when(is_ref, F.col("value"))).alias("ref_max"),
-    )
+    scanned = prefix_scan(by_value, ["feature"], "value", ["r", "c"])
+    sums = scanned.groupBy("feature").agg(
+        F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),
+        (F.sum(F.col("r") * F.col("value")) / F.sum("r")).alias("_mean"),
+        F.min(F.when(F.col("r") > 0, F.col("value"))).alias("ref_min"),
+        F.max(F.when(F.col("r") > 0, F.col("value"))).alias("ref_max"))
+    # population std of the reference, two-pass (mean first); one row per feature
+    spread = scanned.join(F.broadcast(sums.select("feature", "_mean")), "feature").groupBy("feature").agg(
+        F.sqrt(F.sum(F.col("r") * (F.col("value") - F.col("_mean")) ** 2) / F.sum("r")).alias("ref_std"))
     # totals has one row per feature: a proven small broadcast
-    scanned = prefix_scan(by_value, ["feature"], "value", ["r", "c"]).join(F.broadcast(totals), "feature")
+    totals = sums.drop("_mean").join(spread, "feature")
+    scanned = scanned.join(F.broadcast(totals), "feature")
     f_ref = F.col("cum_r") / F.col("n_ref")
     f_cur = F.col("cum_c") / F.col("n_cur")
     gap = F.abs(f_ref - f_cur)

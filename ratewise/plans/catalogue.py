@@ -35,7 +35,7 @@ from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
 from ratewise.session import ensure_checkpoint_dir
-from ratewise.sources.eventlog import parse_event_lines, read_event_log
+from ratewise.sources.eventlog import event_records, parse_event_lines, read_event_log, to_json_lines
 from ratewise.sources.manifest import file_manifest
 from ratewise.streaming.drain import drain
 from ratewise.streaming.windows import run_to_parquet, windowed_request_rate
@@ -389,6 +389,41 @@ def bm25_confidence(spark: SparkSession, sf: str) -> DataFrame:
     return w.select("user_id", "movie_id", "rating", _r("weight"))
 
 
+
+# -- the served log: what the popularity model would serve every user ------------------------
+
+def _served_events(spark, sf):
+    """Top-10 popularity lists (seen excluded) for every user -> JSON event records -> parsed back."""
+    clean = B.clean(spark, sf)
+    model = PopularityModel.fit(clean, min_ratings=MIN_RATINGS)
+    users = clean.select("user_id").distinct()
+    recs = model.recommend(users, TOP_K, seen=seen_items(clean))
+    requests = recs.withColumn("event_id", F.col("user_id")).withColumn("ts", F.lit(0.0)) \
+        .withColumn("k", F.lit(TOP_K))
+    return parse_event_lines(to_json_lines(event_records(requests)))
+
+
+def served_concentration(spark: SparkSession, sf: str) -> DataFrame:
+    c = concentration(item_frequency(_served_events(spark, sf)))
+    return c.select("total", "distinct_items", "top_count", _r("top_movie_share"))
+
+
+def _served_tests(spark, sf):
+    stats = _item_stats(spark, sf)
+    return column_tests(stats.select(*FEATURES), current_population(_served_events(spark, sf), stats))
+
+
+def served_drift_tests(spark: SparkSession, sf: str) -> DataFrame:
+    t = _served_tests(spark, sf)
+    return t.select("feature", "n_ref", "n_cur", _r("ks"), _r("ks_pvalue"), _r("wasserstein"),
+                    _r("wasserstein_norm"), _r("psi"), "method", "drifted")
+
+
+def served_drift_status(spark: SparkSession, sf: str) -> DataFrame:
+    st = drift_status(_served_tests(spark, sf))
+    return st.select("dataset_drift", _r("drift_share"), "number_of_drifted_columns", "n_samples", "status")
+
+
 CATALOGUE = {
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
@@ -435,4 +470,7 @@ CATALOGUE = {
     "bpr_recommend": bpr_recommend,
     "model_selection": model_selection,
     "bm25_confidence": bm25_confidence,
+    "served_concentration": served_concentration,
+    "served_drift_tests": served_drift_tests,
+    "served_drift_status": served_drift_status,
 }

@@ -473,3 +473,57 @@ JOIN (SELECT user_id, sum(rating) AS len_ FROM train GROUP BY user_id) u USING (
 CROSS JOIN (SELECT count(DISTINCT user_id) AS n_users FROM train) n
 CROSS JOIN (SELECT avg(len_) AS avg_len FROM (SELECT sum(rating) AS len_ FROM train GROUP BY user_id)) a""",
     "train")
+
+
+# -- the served log: popularity top-10 for every user, seen items excluded ----------------
+
+cte("pop_clean", """
+SELECT movie_id, mean, row_number() OVER (ORDER BY mean DESC, movie_id) AS pos
+FROM (SELECT movie_id, avg(rating) AS mean, count(*) AS cnt FROM clean GROUP BY movie_id) WHERE cnt >= 20""",
+    ["clean"])
+
+cte("served_ids", """
+SELECT movie_id FROM (
+  SELECT u.user_id, p.movie_id, row_number() OVER (PARTITION BY u.user_id ORDER BY p.pos) AS rk
+  FROM (SELECT DISTINCT user_id FROM clean) u CROSS JOIN pop_clean p
+  WHERE NOT EXISTS (SELECT 1 FROM clean t WHERE t.user_id = u.user_id AND t.movie_id = p.movie_id))
+WHERE rk <= 10""", ["clean", "pop_clean"])
+
+
+def _copy_chain(suffix: str, ids: str) -> None:
+    """Register the concentration / drift CTEs again over another id source."""
+    chain = ["cur_pop", "freq", "conc", "pops", "drift_totals", "drift_pv", "drift_tests", "drift_verdicts",
+             "drift_state"]
+    for name in chain:
+        body = CTES[name]
+        deps = []
+        for d in DEPS[name]:
+            if d == "rec_ids":
+                deps.append(ids)
+            elif d in chain:
+                deps.append(d + suffix)
+            else:
+                deps.append(d)
+        for other in sorted(chain, key=len, reverse=True):
+            body = _rename(body, other, other + suffix)
+        body = _rename(body, "rec_ids", ids)
+        cte(name + suffix, body, deps)
+
+
+def _rename(sql: str, old: str, new: str) -> str:
+    import re
+    return re.sub(rf"\b{old}\b", new, sql)
+
+
+_copy_chain("_served", "served_ids")
+
+SQL["served_concentration"] = with_ctes(
+    "SELECT total, distinct_items, top_count, round(top_movie_share, 6) AS top_movie_share FROM conc_served",
+    "conc_served")
+SQL["served_drift_status"] = with_ctes("""
+SELECT dataset_drift, round(drift_share, 6) AS drift_share, number_of_drifted_columns, n_samples, status
+FROM drift_state_served""", "drift_state_served")
+SQL["served_drift_tests"] = with_ctes("""
+SELECT feature, n_ref, n_cur, round(ks, 6) AS ks, round(ks_pvalue, 6) AS ks_pvalue, round(wasserstein, 6) AS wasserstein,
+       round(wasserstein_norm, 6) AS wasserstein_norm, round(psi, 6) AS psi, method, drifted
+FROM drift_verdicts_served""", "drift_verdicts_served")

@@ -63,15 +63,16 @@ def recommended_ids(events: DataFrame, item_col: str = "movie_id") -> DataFrame:
     return events.select(F.explode("movie_ids").alias(item_col))
 
 
-def event_records(recs: DataFrame, ts_col: str = "ts", user_col: str = "user_id", k_col: str = "k",
-                  item_col: str = "movie_id", rank_col: str = "rank",
-                  latency_col: str | None = None) -> DataFrame:
+def event_records(recs: DataFrame, request_col: str = "event_id", ts_col: str = "ts",
+                  user_col: str = "user_id", k_col: str = "k", item_col: str = "movie_id",
+                  rank_col: str = "rank", latency_col: str | None = None) -> DataFrame:
     """Long recommendations (request, rank, item) -> one event per served list.
 
-    A served list holds at most ``k`` (<= 100) ids, so the per-request
-    ``collect_list`` is bounded by the request, not by the data.
+    Grouped by the request id; a served list holds at most ``k`` (<= 100)
+    ids, so the per-request ``collect_list`` is bounded by the request, not
+    by the data.  Ids are ordered by rank.
     """
-    keys = [ts_col, user_col, k_col] + ([latency_col] if latency_col else [])
+    keys = [request_col, ts_col, user_col, k_col] + ([latency_col] if latency_col else [])
     grouped = recs.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(rank_col, item_col))).alias("_ranked"))
     ids = F.transform("_ranked", lambda s: s[item_col])
