@@ -105,11 +105,14 @@ def publish_events(events: DataFrame, fmt: str = "json", path: str | None = None
     Publishing is a monitoring side channel: the served result must not fail
     because the sink is down.  Returns True when the write went through.
     """
-    writer = to_json_lines(events).write.mode("append").format(fmt)
+    # "json" writes the typed columns (one JSON object per line); "text" and
+    # message sinks such as "kafka" take the JSON text in a ``value`` column
+    payload = events if fmt == "json" else to_json_lines(events)
+    writer = payload.write.mode("append").format(fmt)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     try:
-        if fmt == "json" or fmt == "text":
+        if path is not None:
             writer.save(path)
         else:
             writer.save()

@@ -24,11 +24,13 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def validate_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows (file, problem) for every expected file that is missing, empty or has another digest.
 
-    ``expected`` has (file, md5) and optionally bytes; no rows means valid.
+    ``expected`` has (file, md5); no rows means valid.  The binary-file
+    source does not list zero-length files, so an empty file is reported as
+    ``missing_or_empty`` like an absent one.
     """
     exp = expected.select("file", F.col("md5").alias("expected_md5"))
     joined = exp.join(actual, "file", "left")
-    problem = (F.when(F.col("bytes").isNull(), F.lit("missing"))
+    problem = (F.when(F.col("bytes").isNull(), F.lit("missing_or_empty"))
                .when(F.col("bytes") == 0, F.lit("empty"))
                .when(F.col("md5") != F.col("expected_md5"), F.lit("md5_mismatch")))
     return joined.select("file", problem.alias("problem")).filter(F.col("problem").isNotNull())
