@@ -46,3 +46,15 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: s
     """Join ``big`` to ``small``; broadcast ``small`` only behind a size check."""
     side = F.broadcast(small) if fits_broadcast(small, limit) else small
     return big.join(side, on=list(on) if not isinstance(on, str) else on, how=how)
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Mark a frame that one plan reads several times (e.g. an aggregate joined back
+    to its own input) so it is computed once.
+
+    Persisted in memory and on local disk; a lost block is recomputed from
+    lineage.  Long pipelines should additionally cut lineage with
+    ``DataFrame.checkpoint()`` into the shared ``spark.checkpoint.dir``.
+    """
+    from pyspark.storagelevel import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

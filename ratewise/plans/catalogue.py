@@ -31,13 +31,15 @@ from ratewise.operators.requests import (error_rate, latency_quantiles, request_
                                          validate_requests)
 from ratewise.operators.runs import best_run, latest_per_family
 from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
+from ratewise.operators.sizing import reuse
 from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
 from ratewise.session import ensure_checkpoint_dir
 from ratewise.sources.eventlog import event_records, parse_event_lines, read_event_log, to_json_lines
 from ratewise.sources.manifest import file_manifest
-from ratewise.streaming.drain import drain
+from ratewise.streaming.concentration import run_item_counts
+from ratewise.streaming.drain import drain, event_stream
 from ratewise.streaming.windows import run_to_parquet, windowed_request_rate
 
 R = 6  # digits kept for doubles
@@ -335,6 +337,15 @@ def stream_request_rate(spark: SparkSession, sf: str) -> DataFrame:
                       "handler", "requests", _r("rate_per_s"))
 
 
+
+def stream_concentration(spark: SparkSession, sf: str) -> DataFrame:
+    """Event log as a file stream -> running per-item counts (complete mode) -> read back."""
+    base = _scratch(spark, "counts")
+    B.event_log_json(spark, sf).write.text(f"{base}/in")
+    run_item_counts(spark, event_stream(spark, "text", f"{base}/in"), f"{base}/out", checkpoint=f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out")
+
+
 def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return file_manifest(spark, sf, "*.parquet")
 
@@ -394,7 +405,7 @@ def bm25_confidence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _served_events(spark, sf):
     """Top-10 popularity lists (seen excluded) for every user -> JSON event records -> parsed back."""
-    clean = B.clean(spark, sf)
+    clean = reuse(B.clean(spark, sf))  # fit, users and seen pairs all read it
     model = PopularityModel.fit(clean, min_ratings=MIN_RATINGS)
     users = clean.select("user_id").distinct()
     recs = model.recommend(users, TOP_K, seen=seen_items(clean))
@@ -464,6 +475,7 @@ CATALOGUE = {
     "stream_drain": stream_drain,
     "stream_request_rate": stream_request_rate,
     "dataset_manifest": dataset_manifest,
+    "stream_concentration": stream_concentration,
     "als_recommend": als_recommend,
     "mf_recommend": mf_recommend,
     "mf_rating_error": mf_rating_error,

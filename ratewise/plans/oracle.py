@@ -527,3 +527,5 @@ SQL["served_drift_tests"] = with_ctes("""
 SELECT feature, n_ref, n_cur, round(ks, 6) AS ks, round(ks_pvalue, 6) AS ks_pvalue, round(wasserstein, 6) AS wasserstein,
        round(wasserstein_norm, 6) AS wasserstein_norm, round(psi, 6) AS psi, method, drifted
 FROM drift_verdicts_served""", "drift_verdicts_served")
+
+SQL["stream_concentration"] = SQL["rec_frequency"]
