@@ -58,3 +58,17 @@ def reuse(df: DataFrame) -> DataFrame:
     """
     from pyspark.storagelevel import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def checkpoint_once(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` without computing twice.
+
+    An eager checkpoint runs one job to count and a second one to write the
+    files; persisting first lets the writing job read the cached rows
+    instead of recomputing the plan.
+    """
+    from pyspark.storagelevel import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

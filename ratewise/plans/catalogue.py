@@ -31,7 +31,7 @@ from ratewise.operators.requests import (error_rate, latency_quantiles, request_
                                          validate_requests)
 from ratewise.operators.runs import best_run, latest_per_family
 from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
-from ratewise.operators.sizing import reuse
+from ratewise.operators.sizing import checkpoint_once, reuse
 from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
@@ -355,7 +355,7 @@ def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def _split_cached(spark, sf):
     train, test = _split(spark, sf)
-    return train.checkpoint(eager=True), test.checkpoint(eager=True)
+    return checkpoint_once(train), checkpoint_once(test)
 
 
 def _recommend_with(model, train, test):
