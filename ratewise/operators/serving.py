@@ -41,6 +41,8 @@ def serve_from_ranking(requests: DataFrame, ranking: DataFrame, k_col: str = "k"
     The ranking is joined on the position; positions 1..k are shared by all
     requests, so the ranking prefix (at most 100 rows) is what gets broadcast.
     """
-    slots = requests.withColumn(rank_col, F.explode(F.sequence(F.lit(1), F.col(k_col))))
+    # only valid requests (1 <= k <= 100) get slots: the expansion is bounded per request
+    valid = requests.filter(F.col(k_col).between(1, 100))
+    slots = valid.withColumn(rank_col, F.explode(F.sequence(F.lit(1), F.col(k_col))))
     prefix = ranking.filter(F.col(pos_col) <= 100)
     return slots.join(F.broadcast(prefix), slots[rank_col] == prefix[pos_col], "inner").drop(pos_col)
