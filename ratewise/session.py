@@ -9,6 +9,7 @@ checkpoint folder and only fills it in when nothing is configured.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,6 +51,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -73,3 +75,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="ratewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ratewise`` importable in the Python workers (pandas UDFs pickle
+    references to its functions).  The package is zipped once per
+    SparkContext and added with ``addPyFile``, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ratewise_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="ratewise-pkg-")
+    archive = shutil.make_archive(os.path.join(staging, "ratewise"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="ratewise")
+    sc.addPyFile(archive)
+    sc._ratewise_shipped = True
