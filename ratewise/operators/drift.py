@@ -69,17 +69,20 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
     scanned = prefix_scan(by_value, ["feature"], "value", ["r", "c"])
     sums = scanned.groupBy("feature").agg(
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),
-        (F.sum(F.col("r") * F.col("value")) / F.sum("r")).alias("_mean"),
+        F.try_divide(F.sum(F.col("r") * F.col("value")), F.sum("r")).alias("_mean"),
         F.min(F.when(F.col("r") > 0, F.col("value"))).alias("ref_min"),
         F.max(F.when(F.col("r") > 0, F.col("value"))).alias("ref_max"))
     # population std of the reference, two-pass (mean first); one row per feature
     spread = scanned.join(F.broadcast(sums.select("feature", "_mean")), "feature").groupBy("feature").agg(
-        F.sqrt(F.sum(F.col("r") * (F.col("value") - F.col("_mean")) ** 2) / F.sum("r")).alias("ref_std"))
+        F.sqrt(F.try_divide(F.sum(F.col("r") * (F.col("value") - F.col("_mean")) ** 2), F.sum("r")))
+        .alias("ref_std"))
     # totals has one row per feature: a proven small broadcast
     totals = sums.drop("_mean").join(spread, "feature")
     scanned = scanned.join(F.broadcast(totals), "feature")
-    f_ref = F.col("cum_r") / F.col("n_ref")
-    f_cur = F.col("cum_c") / F.col("n_cur")
+    # an empty population (no reference rows, or nothing recommended yet) gives NULL
+    # statistics instead of a division error; the status gate reports it
+    f_ref = F.try_divide(F.col("cum_r"), F.col("n_ref"))
+    f_cur = F.try_divide(F.col("cum_c"), F.col("n_cur"))
     gap = F.abs(f_ref - f_cur)
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     span = F.col("ref_max") - F.col("ref_min")
@@ -90,15 +93,15 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
     bins = per_value.groupBy("feature", "bin").agg(
         F.sum("r").alias("br"), F.sum("c").alias("bc"), F.first("n_ref").alias("n_ref"),
         F.first("n_cur").alias("n_cur"))
-    pr = F.greatest(F.col("br") / F.col("n_ref"), F.lit(PSI_FLOOR))
-    pc = F.greatest(F.col("bc") / F.col("n_cur"), F.lit(PSI_FLOOR))
+    pr = F.greatest(F.coalesce(F.try_divide(F.col("br"), F.col("n_ref")), F.lit(0.0)), F.lit(PSI_FLOOR))
+    pc = F.greatest(F.coalesce(F.try_divide(F.col("bc"), F.col("n_cur")), F.lit(0.0)), F.lit(PSI_FLOOR))
     psi = bins.groupBy("feature").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi"))
     stats = per_value.groupBy("feature").agg(
         F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
         F.max("gap").alias("ks"), F.sum("area").alias("wasserstein"), F.first("ref_std").alias("ref_std"))
     out = stats.join(psi, "feature", "left")
-    en = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    lam = (F.sqrt(en) + F.lit(0.12) + F.lit(0.11) / F.sqrt(en)) * F.col("ks")
+    en = F.try_divide(F.col("n_ref") * F.col("n_cur"), F.col("n_ref") + F.col("n_cur"))
+    lam = (F.sqrt(en) + F.lit(0.12) + F.try_divide(F.lit(0.11), F.sqrt(en))) * F.col("ks")
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
         lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(F.lit(-2.0) * j * j * F.col("_lam") * F.col("_lam")))
@@ -106,7 +109,7 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
               if method == "auto" else F.lit(method))
     out = out.withColumn("_lam", lam).select(
         "feature", "n_ref", "n_cur", "ks",
-        F.when(F.col("_lam") < 0.2, F.lit(1.0)).otherwise(
+        F.when(F.col("_lam").isNull() | (F.col("_lam") < 0.2), F.lit(1.0)).otherwise(
             F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * series))).alias("ks_pvalue"),
         "wasserstein",
         F.when(F.col("ref_std") > 0, F.col("wasserstein") / F.col("ref_std"))

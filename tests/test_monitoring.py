@@ -125,3 +125,10 @@ def test_snapshot_defaults_and_values(spark):
                                  " top_movie_share double")
     snap = monitoring_snapshot(spark, drift, freq).first()
     assert tuple(snap) == (1, 0.5, 480, 0.3)
+
+
+def test_empty_current_population(spark, scratch):
+    stats = _stats(spark)
+    events = read_event_log(spark, f"{scratch}/no-log-yet")
+    st = drift_status(column_tests(stats.drop("movie_id"), current_population(events, stats))).first()
+    assert st["status"] == "insufficient_data" and st["n_samples"] == 0 and st["dataset_drift"] is False
