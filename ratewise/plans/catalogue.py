@@ -54,8 +54,9 @@ def _r(col: str, digits: int = R):
 # -- ETL -----------------------------------------------------------------------------------
 
 def _features(spark, sf):
-    movies = movie_dimension(B.items(spark, sf), B.PART_TAGS)
-    return build_feature_table(B.clean(spark, sf), movies, B.users(spark, sf))
+    """The reference ETL over the bridge: clean dimensions (D2), flags, stats, joins, fill."""
+    movies = movie_dimension(C.clean_movies(B.items(spark, sf)), B.PART_TAGS)
+    return build_feature_table(B.clean(spark, sf), movies, C.clean_users(B.users(spark, sf)))
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
