@@ -29,7 +29,7 @@ from ratewise.operators.metrics import precision_recall_at_k, rating_errors
 from ratewise.operators.requests import (error_rate, latency_quantiles, request_rate, request_volume,
                                          validate_requests)
 from ratewise.operators.runs import best_run, latest_per_family
-from ratewise.operators.serving import ranked_positions, serve_from_ranking, with_titles
+from ratewise.operators.serving import ranked_positions, serve_from_ranking, serve_from_topk, with_titles
 from ratewise.operators.sizing import checkpoint_once, reuse
 from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.split import relevant_items, seen_items, split_frames, tag_temporal_split
@@ -386,6 +386,20 @@ def bpr_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return _recommend_with(fit_bpr(train), train, test)
 
 
+
+def als_serve(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 with a personal model: valid requests -> ALS top-max(k) per user (seen items not excluded,
+    as in serving) -> per-request cut -> titles -> one event record per request."""
+    reqs = validate_requests(B.requests(spark, sf)).filter("valid") \
+        .select("event_id", "user_id", "k", F.col("ts").cast("timestamp").cast("double").alias("ts"), "latency_ms")
+    model = fit_implicit_als(B.clean(spark, sf))
+    max_k = reqs.agg(F.max("k")).first()[0] or 0  # one number: the longest list any request asks for
+    topk = model.recommend(reqs.select("user_id").distinct(), int(max_k))
+    served = with_titles(serve_from_topk(reqs, topk), B.items(spark, sf))
+    events = event_records(served, latency_col="latency_ms")
+    return events.select("timestamp", "user_id", "k", "num_recommendations", "movie_ids", _r("latency_ms"))
+
+
 def model_selection(spark: SparkSession, sf: str) -> DataFrame:
     """All four families on one split -> runs table -> latest per family -> best by recall@10."""
     train, test = _split_cached(spark, sf)
@@ -481,6 +495,7 @@ CATALOGUE = {
     "mf_recommend": mf_recommend,
     "mf_rating_error": mf_rating_error,
     "bpr_recommend": bpr_recommend,
+    "als_serve": als_serve,
     "model_selection": model_selection,
     "bm25_confidence": bm25_confidence,
     "served_concentration": served_concentration,
