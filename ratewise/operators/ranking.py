@@ -43,13 +43,39 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+# Largest group a single task may sort for a plain window (rows); above it the
+# two-level layout is used.  Checked per call with one grouped count.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (map-side combined count, one number to the driver)."""
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
+        df.agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
                 rank_col: str = "rn", size_col: str | None = "group_rows",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, max_group_rows: int | None = -1) -> DataFrame:
     """Exact 1-based row number per group by ascending ``order_cols``, skew-safe.
 
     Adds ``rank_col`` and (when ``size_col`` is given) the group's row count.
+    When ``max_group_rows`` is set and the largest group is proven (by a
+    grouped count) to be no larger, a plain window is used: one shuffle, and
+    no task sorts more than that many rows of one group.  Otherwise -- or with
+    ``max_group_rows=None`` -- the two-level layout below splits hot groups.
+    ``-1`` means the module setting ``MAX_GROUP_ROWS`` (None there forces the two-level layout).
     """
+    if max_group_rows == -1:
+        max_group_rows = MAX_GROUP_ROWS
+    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
+        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
+        out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+        if size_col:
+            out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)))
+        return out
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + _cols(order_cols)
