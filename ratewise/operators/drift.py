@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.operators.ranking import prefix_scan
-from ratewise.operators.sizing import join_small
+from ratewise.operators.sizing import join_small, reuse
 
 FEATURES = ("movie_rating_count", "movie_avg_rating")
 # Fixed values of the verdict (documented defaults, all overridable).
@@ -62,10 +62,10 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
     """One row per feature: sizes, ks, ks_pvalue, wasserstein, wasserstein_norm, psi, method, drifted."""
     both = _long(reference, "ref", features).unionByName(_long(current, "cur", features))
     is_ref = F.col("origin") == "ref"
-    # the two populations are read once, into the value-grouped table; every
-    # later step works on that (persisted inside prefix_scan)
-    by_value = both.groupBy("feature", "value").agg(
-        F.count_if(is_ref).alias("r"), F.count_if(~is_ref).alias("c"))
+    # the two populations are read once, into the value-grouped table (one row
+    # per distinct value); every later step reads that table
+    by_value = reuse(both.groupBy("feature", "value").agg(
+        F.count_if(is_ref).alias("r"), F.count_if(~is_ref).alias("c")))
     scanned = prefix_scan(by_value, ["feature"], "value", ["r", "c"])
     sums = scanned.groupBy("feature").agg(
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),

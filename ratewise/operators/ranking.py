@@ -106,16 +106,24 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
 
 
 def prefix_scan(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, max_group_rows: int | None = -1) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per group in ``order_col`` order, plus the next value.
 
     Adds ``cum_<c>`` for every ``c`` in ``sum_cols`` and ``next_<order_col>``
     (NULL for the last row of a group).  ``order_col`` must be unique within a
-    group (scan a table already grouped by it).  Same two-level layout as
-    ``rank_within``: range partitions split large groups, a window runs per
-    (partition, group) and the offsets of earlier partitions come from a
-    per-(partition, group) summary.
+    group (scan a table already grouped by it).  Same size check and two-level
+    layout as ``rank_within``: range partitions split large groups, a window
+    runs per (partition, group) and the offsets of earlier partitions come
+    from a per-(partition, group) summary.
     """
+    if max_group_rows == -1:
+        max_group_rows = MAX_GROUP_ROWS
+    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
+        # proven small groups: one window per group is enough
+        w = Window.partitionBy(*group_cols).orderBy(order_col)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sum_cols],
+                         F.lead(order_col).over(w).alias(f"next_{order_col}"))
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
