@@ -85,3 +85,15 @@ def test_late_event_dropped_by_watermark(spark, scratch):
     got = {str(r["window_start"])[11:16]: r["requests"] for r in spark.read.parquet(out).collect()}
     assert got["00:00"] == 1  # the late 00:00:20 row arrived after the watermark passed 00:20
     assert "01:00" not in got  # still open
+
+
+def test_latest_run_per_family_and_best(spark):
+    from ratewise.operators.runs import best_run, latest_per_family
+    rows = [("r-old-bpr", "bpr", 0, 0.9)]                      # outside the 50 newest runs
+    rows += [(f"r-als-{i:02d}", "als", 10 + i, 0.1 + i / 100) for i in range(30)]
+    rows += [(f"r-svd-{i:02d}", "svd", 100 + i, 0.05) for i in range(25)]
+    rows += [("r-pop", "popularity_baseline", 200, None)]      # no metric: ignored by the selection
+    runs = spark.createDataFrame(rows, "run_id string, family string, start_time long, recall_at_10 double")
+    latest = {r["family"]: r["run_id"] for r in latest_per_family(runs).collect()}
+    assert latest == {"als": "r-als-29", "svd": "r-svd-24", "popularity_baseline": "r-pop"}
+    assert best_run(latest_per_family(runs)).first()["run_id"] == "r-als-29"
