@@ -97,3 +97,19 @@ def test_latest_run_per_family_and_best(spark):
     latest = {r["family"]: r["run_id"] for r in latest_per_family(runs).collect()}
     assert latest == {"als": "r-als-29", "svd": "r-svd-24", "popularity_baseline": "r-pop"}
     assert best_run(latest_per_family(runs)).first()["run_id"] == "r-als-29"
+
+
+def test_request_metrics_windows(spark):
+    from ratewise.operators.requests import error_rate, latency_quantiles, request_rate, request_volume
+    rows = [("2024-01-01 00:00:05", "view", 3, 10.0, False), ("2024-01-01 00:00:40", "view", 0, 20.0, False),
+            ("2024-01-01 00:00:50", "error", 5, 30.0, True), ("2024-01-01 00:01:10", "click", None, 40.0, False)]
+    reqs = spark.createDataFrame(rows, "ts string, handler string, k int, latency_ms double, is_error boolean") \
+        .withColumn("ts", F.to_timestamp("ts"))
+    rate = {(str(r["window_start"])[11:16], r["handler"]): r["requests"] for r in request_rate(reqs).collect()}
+    assert rate == {("00:00", "view"): 2, ("00:00", "error"): 1, ("00:01", "click"): 1}
+    errs = {r["status"]: r["errors"] for r in error_rate(reqs).collect()}
+    assert errs == {"4xx": 1, "5xx": 1}  # k = 0 rejected; the failed request
+    lat = latency_quantiles(reqs).first()
+    assert (lat["requests"], lat["p50_ms"], lat["p95_ms"]) == (4, 20.0, 40.0)
+    vol = request_volume(reqs).first()
+    assert (vol["requests"], vol["served_requests"], vol["recommended_items"]) == (4, 3, 18)  # 3 + 5 + 10
