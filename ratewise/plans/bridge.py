@@ -10,7 +10,7 @@ these definitions (the DuckDB oracle inlines the same ones as CTEs):
 * users        -- customer: segment and nation;
 * event log    -- one served list per order: the order's parts, as JSON text;
 * requests     -- ``events``: k from ``props``, latency = value;
-* factors      -- ``embeddings``: ids below 10 act as users, the rest as items.
+* factors      -- ``embeddings``: every vector is both a user and an item (itself excluded).
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ PART_TAGS = [
 ]
 
 DEDUPE_ORDER = ("timestamp", "l_orderkey", "l_linenumber", "l_quantity")
-FACTOR_USERS_BELOW = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,8 +109,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(user_factors, item_factors) as (id, features array<float>)."""
-    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
-    return (emb.filter(F.col("id") < FACTOR_USERS_BELOW),
-            emb.filter(F.col("id") >= FACTOR_USERS_BELOW))
+def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as a factor row (id, features array<float>); each vector acts as a user
+    and as an item, and its own id is the one "seen" item to skip."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))

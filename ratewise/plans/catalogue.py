@@ -278,8 +278,10 @@ def batch_serve(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def factor_topk(spark: SparkSession, sf: str) -> DataFrame:
-    users, items = B.factors(spark, sf)
-    top = topk_dot(users, items, TOP_K)
+    """Top-10 vectors by dot product for every vector of the table, itself excluded."""
+    vectors = B.factors(spark, sf)
+    itself = vectors.select(F.col("id").alias("user_id"), F.col("id").alias("item_id"))
+    top = topk_dot(vectors, vectors, TOP_K, seen=itself)
     return top.select("user_id", "item_id", "rank", _r("score"))
 
 

@@ -379,7 +379,7 @@ SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score
          row_number() OVER (PARTITION BY u.vec_id
                             ORDER BY list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) DESC,
                                      i.vec_id) AS rank
-  FROM embeddings u, embeddings i WHERE u.vec_id < 10 AND i.vec_id >= 10)
+  FROM embeddings u JOIN embeddings i ON u.vec_id <> i.vec_id)
 WHERE rank <= 10"""
 
 # -- model runs ---------------------------------------------------------------------------
