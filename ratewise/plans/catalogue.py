@@ -40,7 +40,7 @@ from ratewise.sources.eventlog import event_records, parse_event_lines, read_eve
 from ratewise.sources.manifest import file_manifest
 from ratewise.streaming.concentration import run_item_counts
 from ratewise.streaming.drain import drain, event_stream
-from ratewise.streaming.windows import run_to_parquet, windowed_request_rate
+from ratewise.streaming.windows import run_to_parquet, windowed_latency, windowed_request_rate
 
 R = 6  # digits kept for doubles
 MIN_RATINGS = 20
@@ -341,6 +341,20 @@ def stream_request_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+
+def stream_latency(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests as a file stream -> 5-minute latency quantiles, 10-minute watermark -> closed windows."""
+    base = _scratch(spark, "latstream")
+    reqs = B.requests(spark, sf)
+    reqs.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(reqs.schema).parquet(f"{base}/in")
+    run_to_parquet(spark, windowed_latency(stream), f"{base}/out", checkpoint=f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "requests", _r("p50_ms"), _r("p95_ms"))
+
+
 def stream_concentration(spark: SparkSession, sf: str) -> DataFrame:
     """Event log as a file stream -> running per-item counts (complete mode) -> read back."""
     base = _scratch(spark, "counts")
@@ -493,6 +507,7 @@ CATALOGUE = {
     "stream_request_rate": stream_request_rate,
     "dataset_manifest": dataset_manifest,
     "stream_concentration": stream_concentration,
+    "stream_latency": stream_latency,
     "als_recommend": als_recommend,
     "mf_recommend": mf_recommend,
     "mf_rating_error": mf_rating_error,

@@ -529,3 +529,12 @@ SELECT feature, n_ref, n_cur, round(ks, 6) AS ks, round(ks_pvalue, 6) AS ks_pval
 FROM drift_verdicts_served""", "drift_verdicts_served")
 
 SQL["stream_concentration"] = SQL["rec_frequency"]
+
+SQL["stream_latency"] = with_ctes("""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
+         time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS window_end,
+         count(*) AS requests, round(quantile_disc(latency_ms, 0.5), 6) AS p50_ms,
+         round(quantile_disc(latency_ms, 0.95), 6) AS p95_ms
+  FROM requests GROUP BY 1, 2)
+WHERE window_end <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'""", "requests")
