@@ -9,7 +9,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 FAST = ["feature_table", "temporal_split", "popularity_recommend", "popularity_ranking_metrics",
-        "drift_ks", "drift_status", "request_rate", "latency_quantiles", "factor_topk", "title_lookup"]
+        "drift_ks", "drift_status", "request_rate", "latency_quantiles", "factor_topk", "title_lookup",
+        "served_drift_status", "stream_latency", "bm25_confidence", "evaluation_runs"]
 
 
 def test_entry_runs(spark):
