@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import exact_dedup, mixing
+from ratewise.llm import bpe, exact_dedup, line_dedup, mixing
 from ratewise.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in several documents stay in the largest doc_id only."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op1_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, i, ls[i] AS line,
+         lower_ascii AS k
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents) d,
+       LATERAL (SELECT unnest(range(1, len(ls) + 1)) AS i) r,
+       LATERAL (SELECT translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii) x),
+g AS (SELECT k, count(DISTINCT doc_id) AS n, max(doc_id) AS last FROM l WHERE length(k) >= 20 GROUP BY k),
+m AS (SELECT l.*, coalesce(g.n >= 3 AND g.last <> l.doc_id, false) AS gone FROM l LEFT JOIN g ON l.k = g.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+@_query
+def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each text and what they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents")
+    done = docs.select("doc_id", bpe.encoded(spark, "text", public_tokenizers.path(VOCABULARY)).alias("r"))
+    return done.select("doc_id", F.size("r.ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("r.ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @_query
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that the mix takes, with its source's target."""
