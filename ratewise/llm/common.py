@@ -152,9 +152,11 @@ class RangeHash:
         return mix(raw ^ ((end - start).astype(np.uint64) * _M2))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of the rows of a chunk: start, end, row of each word."""
-    inside = IS_WORD[data]
+def words(data: np.ndarray, offsets: np.ndarray,
+          letters: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of ``letters``; as a rule ``[^\\x20\\x09-\\x0D]+``) of the rows of a chunk: start,
+    end, row of each word."""
+    inside = letters[data]
     before = np.empty_like(inside)
     if len(inside):
         before[0] = False

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, line_dedup, mixing
-from ratewise.llm.common import prepare
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality
+from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,6 +60,23 @@ def op3_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@_query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics, base rules and the isolation forest's verdict of each document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    done = docs.select("doc_id", quality.quality(docs, labels).alias("r"))
+    return done.select("doc_id", *(f"r.{c}" for c in quality.COUNTS[:5]), "r.base_failed", "r.kept", "r.anomaly")
+
+
+@_query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by shortest code length."""
+    docs = table(spark, sf_dir, "documents")
+    done = docs.select("doc_id", langid.detected(langid.train(docs), docs).alias("r"))
+    return done.select("doc_id", (~in_training_fold("doc_id")).alias("held_out"), F.col("r.lang").alias("lang_pred"),
+                       "r.score", "r.bits_per_byte")
+
+
 @_query
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that the mix takes, with its source's target."""
