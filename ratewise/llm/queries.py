@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,15 @@ FROM m GROUP BY doc_id
 """
 
 
+@_query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by the votes of its nearest labelled examples."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    done = docs.select("doc_id", toxicity.toxicity(docs, labels).alias("r"))
+    return done.select("doc_id", (~in_training_fold("doc_id")).alias("held_out"), "r.score",
+                       (F.col("r.score") >= 0.5).cast("int").alias("predicted"), "r.vote", "r.evidence")
+
+
 VOCABULARY = "word_bpe_49k.json"
 
 
