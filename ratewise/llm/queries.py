@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, mixing, quality, toxicity
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, quality, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,14 @@ FROM p
 """
 
 
+@_query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of each document: like the documents labelled good, or like all."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    done = docs.select("doc_id", lm_scoring.lm_score(docs, labels).alias("r"))
+    return done.select("doc_id", "r.n_tokens", "r.target_bits", "r.background_bits", "r.score")
+
+
 @_query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of equal texts of each document; the row with the largest doc_id stays."""
