@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, quality, toxicity
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, quality, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,31 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY k) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY k) AS kept, sha256(k) AS text_sha256
 FROM t
 """
+
+
+@_query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document; its smallest doc_id stays."""
+    done = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_shingles", "component_id",
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+SQL["op9_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END) AS h
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i) r WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node),
+m AS (SELECT node, min(root) AS root FROM c GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.node = d.doc_id
+"""
