@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, quality, toxicity
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, quality, suffix_dedup, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,12 @@ m AS (SELECT node, min(root) AS root FROM c GROUP BY node)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.node = d.doc_id
 """
+
+
+@_query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that belong to a 200-byte string met elsewhere are removed."""
+    done = suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
