@@ -117,6 +117,8 @@ def build_shards(repeated: DataFrame, shards: int) -> DataFrame:
 
 def _loses(index: LineIndex, a: np.ndarray, b: np.ndarray, ids: np.ndarray, has_id: np.ndarray) -> np.ndarray:
     at = index.probe(a, b)
+    if not index.hash.n:
+        return at >= 0
     return (at >= 0) & ~((index.last[at] == ids) & (index.has_last[at] == has_id))
 
 
