@@ -32,7 +32,7 @@ def brute(rows, good):
         for a, b in kept:
             taken[a] += max(bi[a, b] - M.DISCOUNT, 0) / max(context[a], 1)
 
-        def loss(a, b):
+        def loss(a, b, bi=bi, context=context, taken=taken, p_word=p_word):
             rest = min(1, max(1e-6, 1 - taken[a]))
             own = max(bi[a, b] - M.DISCOUNT, 0) / max(context[a], 1) if (a, b) in kept else 0.0
             return -math.log2(own + rest * p_word[b])
