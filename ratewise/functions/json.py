@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ratewise.schemas import EVENT
-
-
-def parse_event(value: Column | str) -> Column:
-    """JSON text -> event struct; an absent ``movie_ids`` becomes an empty list."""
-    col = F.col(value) if isinstance(value, str) else value
-    parsed = F.from_json(col, EVENT)
-    return parsed.withField("movie_ids", F.coalesce(parsed["movie_ids"], F.array().cast("array<bigint>")))
-
 
 def event_json(*cols: Column | str) -> Column:
     """Struct of the given columns -> compact JSON text."""
     return F.to_json(F.struct(*cols))
+
+
+def well_formed(value: Column | str) -> Column:
+    """The text is one JSON object (any fields: a sparse event is an event)."""
+    col = F.col(value) if isinstance(value, str) else value
+    read = F.from_json(col, "_corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.coalesce(F.ltrim(col).startswith("{") & read["_corrupt_record"].isNull(), F.lit(False))

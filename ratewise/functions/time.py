@@ -18,8 +18,3 @@ def epoch_seconds(ts: Column | str) -> Column:
 def year_of_epoch(seconds: Column | str) -> Column:
     """Epoch seconds -> calendar year (UTC when the session zone is UTC)."""
     return F.year(F.timestamp_seconds(_col(seconds)))
-
-
-def epoch_to_timestamp(seconds: Column | str) -> Column:
-    """Epoch seconds (long or double) -> timestamp."""
-    return F.timestamp_seconds(_col(seconds))

@@ -18,11 +18,6 @@ def in_range(df: DataFrame, col: str, low: float, high: float) -> DataFrame:
     return df.filter(F.col(col).between(low, high))
 
 
-def at_least(df: DataFrame, col: str, threshold: float) -> DataFrame:
-    """``col >= threshold`` (relevance / support floors)."""
-    return df.filter(F.col(col) >= threshold)
-
-
 def first_per_key(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Keep one row per key: the first by ``order_cols`` (ascending).
 

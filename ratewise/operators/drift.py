@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.operators.ranking import prefix_scan
-from ratewise.operators.sizing import join_small, reuse
+from ratewise.operators.sizing import join_small
 
 FEATURES = ("movie_rating_count", "movie_avg_rating")
 # Fixed values of the verdict (documented defaults, all overridable).
@@ -59,13 +59,18 @@ def column_tests(reference: DataFrame, current: DataFrame, features: Sequence[st
                  method: str = "auto", ks_pvalue: float = KS_PVALUE,
                  wasserstein_threshold: float = WASSERSTEIN_NORMED,
                  ks_max_reference: int = KS_MAX_REFERENCE) -> DataFrame:
-    """One row per feature: sizes, ks, ks_pvalue, wasserstein, wasserstein_norm, psi, method, drifted."""
+    """One row per feature: sizes, ks, ks_pvalue, wasserstein, wasserstein_norm, psi, method, drifted.
+
+    With ``method="auto"`` the verdict rule depends on the reference size: KS up to
+    ``ks_max_reference`` reference rows, normed Wasserstein above (the statistics are
+    computed either way).
+    """
     both = _long(reference, "ref", features).unionByName(_long(current, "cur", features))
     is_ref = F.col("origin") == "ref"
     # the two populations are read once, into the value-grouped table (one row
-    # per distinct value); every later step reads that table
-    by_value = reuse(both.groupBy("feature", "value").agg(
-        F.count_if(is_ref).alias("r"), F.count_if(~is_ref).alias("c")))
+    # per distinct value); the scan writes it and every later step reads that
+    by_value = both.groupBy("feature", "value").agg(
+        F.count_if(is_ref).alias("r"), F.count_if(~is_ref).alias("c"))
     scanned = prefix_scan(by_value, ["feature"], "value", ["r", "c"])
     sums = scanned.groupBy("feature").agg(
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),

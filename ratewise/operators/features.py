@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.text import GENRES, multi_hot, release_year
 from ratewise.functions.time import year_of_epoch
-from ratewise.operators.sizing import join_small, reuse
+from ratewise.operators.sizing import join_small, materialise
 
 
 def rating_stats(ratings: DataFrame, key: str, prefix: str, rating_col: str = "rating") -> DataFrame:
@@ -30,7 +30,7 @@ def add_rating_features(ratings: DataFrame, item_col: str = "movie_id", user_col
     The item table is catalog-sized (broadcast behind a size check); the
     user table grows with the users and is shuffle-joined.
     """
-    ratings = reuse(ratings)  # read three times below: compute the clean fact once
+    ratings = materialise(ratings, "clean")  # read three times below: compute the clean fact once
     base = ratings.withColumn("rating_year", year_of_epoch(time_col))
     items = rating_stats(ratings, item_col, "movie", rating_col)
     users = rating_stats(ratings, user_col, "user", rating_col)
@@ -45,6 +45,7 @@ def movie_dimension(movies: DataFrame, vocabulary: Sequence[str] = GENRES,
                          *multi_hot(genres_col, vocabulary))
 
 
+# What a missing statistic or year becomes in the feature table.
 FILL_DEFAULTS = {
     "movie_rating_count": 0,
     "movie_avg_rating": 0.0,

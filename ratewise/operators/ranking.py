@@ -13,7 +13,8 @@ it ranks in two levels instead:
 2. position of each row inside its partition (``monotonically_increasing_id``
    after the sort) and a per-(partition, group) summary: first position and
    row count, one row per pair, i.e. about groups + partitions rows;
-   The tagged rows are persisted so that both uses read one computation;
+   the tagged rows are written once to the shared folder, so that both uses
+   read the same layout, whatever happens to executors in between;
 3. rows before this partition = running sum of the summary counts over the
    partitions of the group (a window over the small summary);
 4. rank = position - first position + 1 + rows before.
@@ -27,9 +28,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from ratewise.operators.sizing import join_small
+from ratewise.operators.sizing import join_small, materialise
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -43,113 +43,74 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-# Largest group a single task may sort for a plain window (rows); above it the
-# two-level layout is used.  Checked per call with one grouped count.
-MAX_GROUP_ROWS = 2_000_000
+def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None, tag: str) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``keys``, tagged with partition and position, written once.
 
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (map-side combined count, one number to the driver)."""
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-        df.agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n")).first()[0]
-    return int(top or 0)
+    An explicit partition count keeps AQE from coalescing the exchange.
+    """
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    return materialise(ranged.withColumn("_part", F.spark_partition_id())
+                       .withColumn("_pos", F.monotonically_increasing_id()), tag)
 
 
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str | Column],
                 rank_col: str = "rn", size_col: str | None = "group_rows",
-                num_partitions: int | None = None, max_group_rows: int | None = -1) -> DataFrame:
-    """Exact 1-based row number per group by ascending ``order_cols``, skew-safe.
+                num_partitions: int | None = None) -> DataFrame:
+    """Exact 1-based row number per group by ascending ``order_cols``, skew-safe at any size.
 
     Adds ``rank_col`` and (when ``size_col`` is given) the group's row count.
-    When ``max_group_rows`` is set and the largest group is proven (by a
-    grouped count) to be no larger, a plain window is used: one shuffle, and
-    no task sorts more than that many rows of one group.  Otherwise -- or with
-    ``max_group_rows=None`` -- the two-level layout below splits hot groups.
-    ``-1`` means the module setting ``MAX_GROUP_ROWS`` (None there forces the two-level layout).
+    One materialisation of the sorted rows, no other job.
     """
-    if max_group_rows == -1:
-        max_group_rows = MAX_GROUP_ROWS
-    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
-        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
-        out = df.withColumn(rank_col, F.row_number().over(w).cast("long"))
-        if size_col:
-            out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)))
-        return out
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in group_cols] + _cols(order_cols)
-    # An explicit partition count keeps AQE from coalescing this exchange.
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    # Both branches below (summary and join) must see the very same partition
-    # layout.  Persisting gives them one physical RDD, hence one range
-    # shuffle with one set of bounds; a lost block is recomputed from that
-    # same shuffle and the total sort order, so it comes back identical.
-    tagged = (ranged.withColumn("_rw_part", F.spark_partition_id())
-              .withColumn("_rw_pos", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    summary = (tagged.groupBy("_rw_part", *group_cols)
-               .agg(F.min("_rw_pos").alias("_rw_first"), F.count(F.lit(1)).alias("_rw_cnt")))
+    tagged = _ranged(df, [F.col(c) for c in group_cols] + _cols(order_cols), num_partitions, "rank")
+    summary = (tagged.groupBy("_part", *group_cols)
+               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     # with no group columns this ranks the whole frame; the window then runs
     # over one summary row per partition only
-    over_parts = Window.partitionBy(*group_cols).orderBy("_rw_part")
+    over_parts = Window.partitionBy(*group_cols).orderBy("_part")
     summary = summary.withColumn(
-        "_rw_before",
-        F.coalesce(F.sum("_rw_cnt").over(over_parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        "_before",
+        F.coalesce(F.sum("_cnt").over(over_parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if size_col:
-        summary = summary.withColumn(size_col, F.sum("_rw_cnt").over(Window.partitionBy(*group_cols)))
+        summary = summary.withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(*group_cols)))
     # The summary has about (groups + partitions) rows: broadcast when its
     # measured size allows, shuffle join on (partition, group) otherwise.
-    joined = join_small(tagged, summary.drop("_rw_cnt"), ["_rw_part", *group_cols], "inner")
-    ranked = joined.withColumn(rank_col, F.col("_rw_pos") - F.col("_rw_first") + 1 + F.col("_rw_before"))
-    return ranked.drop("_rw_part", "_rw_pos", "_rw_first", "_rw_before")
+    joined = join_small(tagged, summary.drop("_cnt"), ["_part", *group_cols], "inner")
+    ranked = joined.withColumn(rank_col, F.col("_pos") - F.col("_first") + 1 + F.col("_before"))
+    return ranked.drop("_part", "_pos", "_first", "_before")
 
 
 def prefix_scan(df: DataFrame, group_cols: Sequence[str], order_col: str, sum_cols: Sequence[str],
-                num_partitions: int | None = None, max_group_rows: int | None = -1) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per group in ``order_col`` order, plus the next value.
 
     Adds ``cum_<c>`` for every ``c`` in ``sum_cols`` and ``next_<order_col>``
     (NULL for the last row of a group).  ``order_col`` must be unique within a
-    group (scan a table already grouped by it).  Same size check and two-level
-    layout as ``rank_within``: range partitions split large groups, a window
-    runs per (partition, group) and the offsets of earlier partitions come
-    from a per-(partition, group) summary.
+    group (scan a table already grouped by it).  Same two-level layout as
+    ``rank_within``: range partitions split large groups, a window runs per
+    (partition, group) and the offsets of earlier partitions come from a
+    per-(partition, group) summary.
     """
-    if max_group_rows == -1:
-        max_group_rows = MAX_GROUP_ROWS
-    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
-        # proven small groups: one window per group is enough
-        w = Window.partitionBy(*group_cols).orderBy(order_col)
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*df.columns, *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sum_cols],
-                         F.lead(order_col).over(w).alias(f"next_{order_col}"))
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in group_cols] + [F.col(order_col)]
-    tagged = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-              .withColumn("_ps_part", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    local = Window.partitionBy("_ps_part", *group_cols).orderBy(order_col)
+    tagged = _ranged(df, [F.col(c) for c in group_cols] + [F.col(order_col)], num_partitions, "scan").drop("_pos")
+    local = Window.partitionBy("_part", *group_cols).orderBy(order_col)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     scanned = tagged.select(
         "*",
-        *[F.sum(c).over(upto).alias(f"_ps_loc_{c}") for c in sum_cols],
-        F.lead(order_col).over(local).alias("_ps_next"),
+        *[F.sum(c).over(upto).alias(f"_loc_{c}") for c in sum_cols],
+        F.lead(order_col).over(local).alias("_next"),
     )
-    summary = tagged.groupBy("_ps_part", *group_cols).agg(
-        F.min(order_col).alias("_ps_min"), *[F.sum(c).alias(f"_ps_tot_{c}") for c in sum_cols])
-    over_parts = Window.partitionBy(*group_cols).orderBy("_ps_part")
+    summary = tagged.groupBy("_part", *group_cols).agg(
+        F.min(order_col).alias("_min"), *[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    over_parts = Window.partitionBy(*group_cols).orderBy("_part")
     before = over_parts.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
-        "_ps_part", *group_cols,
-        F.lead("_ps_min").over(over_parts).alias("_ps_next_part_min"),
-        *[F.coalesce(F.sum(f"_ps_tot_{c}").over(before), F.lit(0)).alias(f"_ps_off_{c}") for c in sum_cols],
+        "_part", *group_cols,
+        F.lead("_min").over(over_parts).alias("_next_part_min"),
+        *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
     )
-    joined = join_small(scanned, summary, ["_ps_part", *group_cols], "inner")
-    out = joined.select(
+    joined = join_small(scanned, summary, ["_part", *group_cols], "inner")
+    return joined.select(
         *df.columns,
-        *[(F.col(f"_ps_loc_{c}") + F.col(f"_ps_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
-        F.coalesce("_ps_next", "_ps_next_part_min").alias(f"next_{order_col}"),
+        *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        F.coalesce("_next", "_next_part_min").alias(f"next_{order_col}"),
     )
-    return out

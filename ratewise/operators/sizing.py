@@ -9,12 +9,17 @@ statistics -- no job is run to measure them.
 
 from __future__ import annotations
 
+import atexit
+import logging
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+from ratewise.session import ensure_checkpoint_dir
+
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024  # when the session's threshold can't be read
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -27,12 +32,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold``, as it is set; 0 when broadcasts are off."""
     conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     try:
         value = int(str(conf).lower().replace("b", ""))
     except ValueError:
         value = DEFAULT_BROADCAST_BYTES
-    return max(value, DEFAULT_BROADCAST_BYTES) if value > 0 else 0
+    return max(value, 0)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -48,27 +54,34 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: s
     return big.join(side, on=list(on) if not isinstance(on, str) else on, how=how)
 
 
-def reuse(df: DataFrame) -> DataFrame:
-    """Mark a frame that one plan reads several times (e.g. an aggregate joined back
-    to its own input) so it is computed once.
+def materialise(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Persisted in memory and on local disk; a lost block is recomputed from
-    lineage.  Long pipelines should additionally cut lineage with
-    ``DataFrame.checkpoint()`` into the shared ``spark.checkpoint.dir``.
+    Computes the frame once for all its readers, cuts the lineage and survives
+    lost executors.  The files go when the application ends.
     """
-    from pyspark.storagelevel import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_once(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` without computing twice.
+_ROOTS: dict[str, str] = {}
 
-    An eager checkpoint runs one job to count and a second one to write the
-    files; persisting first lets the writing job read the cached rows
-    instead of recomputing the plan.
-    """
-    from pyspark.storagelevel import StorageLevel
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder, deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratewise-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(delete_path, spark, _ROOTS[app])
+    return _ROOTS[app]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the cluster's file system; a stopped session leaves it."""
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception as exc:  # noqa: BLE001 - clean-up must not hide the job's own outcome
+        logging.getLogger(__name__).debug("scratch folder %s stays: %s", path, exc)

@@ -78,8 +78,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON line per order: the served list is the order's parts (repeats kept, sorted).
 
-    Lines per order are bounded by the order format (at most 7), so the
-    per-order list is bounded too.
+    An order's lines are one served list (up to some tens of lines in the
+    generated tables), which the event format holds as one array.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")

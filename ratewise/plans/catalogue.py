@@ -18,7 +18,7 @@ from ratewise.models.als import fit_implicit_als
 from ratewise.models.biased_mf import fit_biased_mf
 from ratewise.models.blocked import topk_dot
 from ratewise.models.bpr import fit_bpr
-from ratewise.models.evaluation import evaluate_families, popularity_sweep
+from ratewise.models.evaluation import evaluate_families, popularity_sweep, select_run
 from ratewise.models.popularity import PopularityModel
 from ratewise.operators import clean as C
 from ratewise.operators.concentration import concentration, item_frequency
@@ -30,15 +30,14 @@ from ratewise.operators.requests import (error_rate, latency_quantiles, request_
                                          validate_requests)
 from ratewise.operators.runs import best_run, latest_per_family
 from ratewise.operators.serving import ranked_positions, serve_from_ranking, serve_from_topk, with_titles
-from ratewise.operators.sizing import checkpoint_once, reuse
+from ratewise.operators.sizing import materialise, scratch_root
 from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.split import relevant_items, seen_items, split_frames, tag_temporal_split
 from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
-from ratewise.session import ensure_checkpoint_dir
 from ratewise.sources.eventlog import event_records, parse_event_lines, read_event_log, to_json_lines
 from ratewise.sources.manifest import file_manifest
-from ratewise.streaming.concentration import run_item_counts
+from ratewise.streaming.concentration import read_item_counts, run_item_counts
 from ratewise.streaming.drain import drain, event_stream
 from ratewise.streaming.windows import run_to_parquet, windowed_latency, windowed_request_rate
 
@@ -125,7 +124,8 @@ def catalog_distinct(spark: SparkSession, sf: str) -> DataFrame:
 # -- split and popularity ------------------------------------------------------------------
 
 def _split(spark, sf):
-    return split_frames(tag_temporal_split(B.clean(spark, sf), 0.2))
+    """Train and test from one tagged table: train, test, seen and relevant pairs all read it."""
+    return split_frames(materialise(tag_temporal_split(B.clean(spark, sf), 0.2), "split"))
 
 
 def temporal_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,8 +183,13 @@ def _events(spark, sf):
 
 
 def _item_stats(spark, sf):
-    """L1: one stats row per item, read back from the wide feature table."""
-    return C.stats_per_item(_features(spark, sf))
+    """L1: one stats row per item.  The wide feature table is not built for it: the statistics come from
+    the clean ratings, for the items of which a row survives the feature table's joins."""
+    clean = materialise(B.clean(spark, sf), "clean")
+    rated = clean.join(C.clean_users(B.users(spark, sf)).select("user_id"), "user_id", "left_semi").select("movie_id").distinct()
+    items = C.clean_movies(B.items(spark, sf)).select("movie_id")
+    stats = rating_stats(clean, "movie_id", "movie")
+    return C.stats_per_item(stats.join(rated, "movie_id", "left_semi").join(items, "movie_id", "left_semi"))
 
 
 def rec_frequency(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,7 +320,7 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 # -- streaming and manifests -----------------------------------------------------------------
 
 def _scratch(spark, tag):
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
 def stream_drain(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,7 +365,7 @@ def stream_concentration(spark: SparkSession, sf: str) -> DataFrame:
     base = _scratch(spark, "counts")
     B.event_log_json(spark, sf).write.text(f"{base}/in")
     run_item_counts(spark, event_stream(spark, "text", f"{base}/in"), f"{base}/out", checkpoint=f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    return read_item_counts(spark, f"{base}/out")
 
 
 def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -370,11 +375,6 @@ def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- factor models (solver-dependent values: row checks only) ----------------------------------
 
-def _split_cached(spark, sf):
-    train, test = _split(spark, sf)
-    return checkpoint_once(train), checkpoint_once(test)
-
-
 def _recommend_with(model, train, test):
     rel = relevant_items(test)
     recs = model.recommend(rel.select("user_id").distinct(), TOP_K, seen=seen_items(train))
@@ -382,23 +382,23 @@ def _recommend_with(model, train, test):
 
 
 def als_recommend(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_cached(spark, sf)
+    train, test = _split(spark, sf)
     return _recommend_with(fit_implicit_als(train), train, test)
 
 
 def mf_recommend(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_cached(spark, sf)
+    train, test = _split(spark, sf)
     return _recommend_with(fit_biased_mf(train), train, test)
 
 
 def mf_rating_error(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_cached(spark, sf)
+    train, test = _split(spark, sf)
     err = rating_errors(fit_biased_mf(train).predict(test.select("user_id", "movie_id", "rating")))
     return err.select(_r("rmse"), _r("mae"), "n")
 
 
 def bpr_recommend(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = _split_cached(spark, sf)
+    train, test = _split(spark, sf)
     return _recommend_with(fit_bpr(train), train, test)
 
 
@@ -418,10 +418,11 @@ def als_serve(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_selection(spark: SparkSession, sf: str) -> DataFrame:
     """All four families on one split -> runs table -> latest per family -> best by recall@10."""
-    train, test = _split_cached(spark, sf)
+    train, test = _split(spark, sf)
     runs = evaluate_families(train, test, TOP_K)
-    return runs.select("run_id", "family", _r("precision_at_10"), _r("recall_at_10"), _r("rmse"), _r("mae"),
-                       "selected")
+    best = select_run(runs, TOP_K).select("run_id", F.lit(True).alias("selected"))
+    marked = runs.join(F.broadcast(best), "run_id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    return marked.select("family", _r("precision_at_10"), _r("recall_at_10"), _r("rmse"), _r("mae"), "selected")
 
 
 
@@ -436,7 +437,7 @@ def bm25_confidence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _served_events(spark, sf):
     """Top-10 popularity lists (seen excluded) for every user -> JSON event records -> parsed back."""
-    clean = reuse(B.clean(spark, sf))  # fit, users and seen pairs all read it
+    clean = materialise(B.clean(spark, sf), "clean")  # fit, users and seen pairs all read it
     model = PopularityModel.fit(clean, min_ratings=MIN_RATINGS)
     users = clean.select("user_id").distinct()
     recs = model.recommend(users, TOP_K, seen=seen_items(clean))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 RATINGS = T.StructType([
-    T.StructField("user_id", T.IntegerType()),
-    T.StructField("movie_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("movie_id", T.LongType()),
     T.StructField("rating", T.IntegerType()),
     T.StructField("timestamp", T.LongType()),
 ])
 
 USERS = T.StructType([
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("gender", T.StringType()),
     T.StructField("age", T.IntegerType()),
     T.StructField("occupation", T.IntegerType()),
@@ -20,7 +20,7 @@ USERS = T.StructType([
 ])
 
 MOVIES = T.StructType([
-    T.StructField("movie_id", T.IntegerType()),
+    T.StructField("movie_id", T.LongType()),
     T.StructField("title", T.StringType()),
     T.StructField("genres", T.StringType()),
 ])

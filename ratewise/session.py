@@ -59,8 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach (HDFS / object store); it is used as is.  Only when it is unset
-    (local tests) a fresh scratch folder is made and registered.
+    reach (HDFS / object store); it is used as is.  Only when it is unset and
+    the master is local (tests) a fresh scratch folder is made and registered;
+    on any other master the setting is required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -72,6 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ratewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local

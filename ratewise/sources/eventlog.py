@@ -11,10 +11,14 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.functions.json import well_formed
+from ratewise.operators.sizing import materialise
 from ratewise.schemas import EVENT, EVENT_WITH_CORRUPT
 
 
@@ -28,12 +32,12 @@ def read_event_log(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
     schema = EVENT_WITH_CORRUPT if mode == "PERMISSIVE" else EVENT
     try:
         df = (spark.read.schema(schema).option("mode", mode)
-              .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    except AnalysisException as exc:  # PATH_NOT_FOUND: nothing drained yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            df = _empty(spark, schema)
-        else:
+              .option("columnNameOfCorruptRecord", "_corrupt_record")
+              .option("recursiveFileLookup", "true").json(path))  # a drain writes one folder per batch
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # a missing path: nothing drained yet
             raise
+        df = _empty(spark, schema)
     df = df.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
     if mode == "PERMISSIVE" and not keep_corrupt:
         # the size() term keeps a parsed column in the scan: Spark refuses scans
@@ -43,10 +47,11 @@ def read_event_log(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
 
 
 def parse_event_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Text lines (e.g. a topic's ``value`` or a text scan) -> typed events; bad lines dropped."""
-    parsed = lines.select(F.from_json(F.col(value_col).cast("string"), EVENT).alias("e")).select("e.*")
-    ok = parsed.filter(F.col("user_id").isNotNull() | F.col("movie_ids").isNotNull())
-    return ok.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
+    """Text lines (e.g. a topic's ``value`` or a text scan) -> typed events; lines that are no JSON
+    object are left out, sparse events stay."""
+    text = lines.select(F.col(value_col).cast("string").alias("value")).filter(well_formed("value"))
+    parsed = text.select(F.from_json("value", EVENT).alias("e")).select("e.*")
+    return parsed.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
 
 
 def corrupt_count(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +59,7 @@ def corrupt_count(spark: SparkSession, path: str) -> DataFrame:
     df = read_event_log(spark, path, keep_corrupt=True)
     bad = F.col("_corrupt_record").isNotNull()
     return df.agg(F.count(F.lit(1)).alias("lines"),
-                  F.count_if(~bad & (F.col("user_id").isNotNull() | (F.size("movie_ids") > 0))).alias("parsed_lines"),
+                  F.count_if(~bad & (F.size("movie_ids") >= 0)).alias("parsed_lines"),
                   F.count_if(bad).alias("corrupt_lines"))
 
 
@@ -73,8 +78,9 @@ def event_records(recs: DataFrame, request_col: str = "event_id", ts_col: str =
     by the data.  Ids are ordered by rank.
     """
     keys = [request_col, ts_col, user_col, k_col] + ([latency_col] if latency_col else [])
-    grouped = recs.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(rank_col, item_col))).alias("_ranked"))
+    # a request without recommendations comes as one row without an item: an empty list, still an event
+    ranked = F.when(F.col(item_col).isNotNull(), F.struct(rank_col, item_col))
+    grouped = recs.groupBy(*keys).agg(F.array_sort(F.collect_list(ranked)).alias("_ranked"))
     ids = F.transform("_ranked", lambda s: s[item_col])
     return grouped.select(
         F.col(ts_col).cast("double").alias("timestamp"),
@@ -103,8 +109,11 @@ def publish_events(events: DataFrame, fmt: str = "json", path: str | None = None
     """Publish events to a sink; a sink failure is reported, never raised.
 
     Publishing is a monitoring side channel: the served result must not fail
-    because the sink is down.  Returns True when the write went through.
+    because the sink is down.  The events are materialised first, so a failure
+    of the recommendation plan itself is raised; a sink failure is logged.
+    Returns True when the write went through.
     """
+    events = materialise(events, "publish")
     # "json" writes the typed columns (one JSON object per line); "text" and
     # message sinks such as "kafka" take the JSON text in a ``value`` column
     payload = events if fmt == "json" else to_json_lines(events)
@@ -118,6 +127,7 @@ def publish_events(events: DataFrame, fmt: str = "json", path: str | None = None
             writer.save()
         return True
     except Exception:  # noqa: BLE001 - isolation is the point
+        logging.getLogger(__name__).exception("events were not published to %s %s", fmt, path or "")
         return False
 
 

@@ -1,30 +1,37 @@
 """Bounded drain of the recommendation-event stream into the JSON-lines log.
 
 ``trigger(availableNow=True)`` reads everything that is on the source when
-the query starts, in as many micro-batches as needed, and stops.  Progress
-lives in the checkpoint: a second run adds nothing, new input adds only the
-new rows, and the file sink commits each batch exactly once.
+the query starts, in as many micro-batches as needed, and stops.  Lines go to
+the log as they are; they are parsed when the log is read.  A line that is no
+JSON object goes to the quarantine folder beside the log instead, and both
+numbers are returned.  Progress lives in a checkpoint folder that is derived
+from the log's path (same storage), so a second run, also of another session,
+adds only what is new.
+
+Each micro-batch writes a folder of its own, named by its number, in
+``overwrite`` mode: a batch that is run again after a failure replaces what it
+had written.
 
 The source is a format name plus options: ``kafka`` (topic, bootstrap
 servers; needs the Kafka connector on the classpath) or a file source such
-as ``text`` over a folder of JSON lines (used in tests).  The checkpoint
-defaults to a folder under the cluster's ``spark.checkpoint.dir``.
+as ``text`` over a folder of JSON lines (used in tests).
 """
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.functions.json import well_formed
 from ratewise.schemas import EVENT
-from ratewise.session import ensure_checkpoint_dir
+from ratewise.streaming.progress import beside, run_batches, written
 
 
-def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """Streaming frame of typed events from a topic (``value``) or a text-file folder."""
+def raw_lines(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
+              options: dict[str, str] | None = None) -> DataFrame:
+    """Streaming frame of the source's lines, one text column ``value``."""
     reader = spark.readStream.format(fmt)
     opts = dict(options or {})
     if fmt == "kafka":
@@ -32,17 +39,37 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = Non
     for k, v in opts.items():
         reader = reader.option(k, v)
     raw = reader.load(path) if path else reader.load()
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), EVENT).alias("e")).select("e.*")
-    parsed = parsed.filter(F.col("user_id").isNotNull() | F.col("movie_ids").isNotNull())
+    return raw.select(F.col("value").cast("string").alias("value"))
+
+
+def event_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """Streaming frame of typed events from a topic (``value``) or a text-file folder."""
+    lines = raw_lines(spark, fmt, path, options).where(well_formed("value"))
+    parsed = lines.select(F.from_json("value", EVENT).alias("e")).select("e.*")
     return parsed.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
 
 
+@dataclass(frozen=True)
+class Drained:
+    """Lines appended to the log and lines put into quarantine by one run."""
+
+    appended: int
+    quarantined: int
+
+
 def drain(spark: SparkSession, log_path: str, fmt: str = "kafka", path: str | None = None,
-          options: dict[str, str] | None = None, checkpoint: str | None = None) -> int:
-    """Append every available event to ``log_path`` (JSON lines); returns rows drained."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/drain-{uuid.uuid4().hex}"
-    q = (event_stream(spark, fmt, path, options).writeStream
-         .format("json").option("path", log_path).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+          options: dict[str, str] | None = None, checkpoint: str | None = None) -> Drained:
+    """Append every available line to ``log_path``; lines that are no JSON object to ``<log_path>.bad``."""
+    bad: list[int] = []
+
+    def one(frame: DataFrame, epoch: int) -> int:
+        tagged = frame.withColumn("ok", well_formed("value"))
+        name = f"batch={epoch:010d}"
+        bad.append(written(tagged.where(~F.col("ok")).select("value"),
+                           lambda f: f.write.mode("overwrite").text(f"{beside(log_path, 'bad')}/{name}")))
+        return written(tagged.where("ok").select("value"),
+                       lambda f: f.write.mode("overwrite").text(f"{log_path}/{name}"))
+
+    appended = run_batches(raw_lines(spark, fmt, path, options), checkpoint or beside(log_path, "progress"), one)
+    return Drained(appended, sum(bad))
