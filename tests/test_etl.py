@@ -1,4 +1,4 @@
-"""Cleaning, raw readers and the feature table (ETL fixture of the reference tests)."""
+"""Cleaning, raw readers and the feature table."""
 
 from pyspark.sql import functions as F
 
@@ -7,9 +7,9 @@ from ratewise.operators import clean as C
 from ratewise.operators.features import feature_table, movie_dimension
 from ratewise.sources.delimited import read_movies, read_ratings, read_users
 
-RATINGS = [(1, 10, 5, 1000), (1, 20, 3, 1001), (2, 10, 6, 1002), (2, 20, 0, 1003), (2, 20, 4, 1003)]
-MOVIES = [(10, "Movie Ten (1999)", "Action|Comedy"), (20, "Movie Twenty (2005)", "Drama")]
-USERS = [(1, "M", 25, 1, "12345"), (2, "F", 35, 2, "67890"), (2, "F", 35, 2, "67890")]
+RATINGS = [(61, 410, 2, 7200), (61, 420, 5, 7260), (62, 410, 11, 7300), (62, 420, -1, 7350), (62, 420, 1, 7400)]
+MOVIES = [(410, "Salt Road (1974)", "Western|Romance"), (420, "Night Ferry (2019)", "Thriller")]
+USERS = [(61, "F", 50, 7, "04109"), (62, "M", 18, 4, "80331"), (62, "M", 18, 4, "80331")]
 
 
 def _frames(spark):
@@ -23,7 +23,7 @@ def test_rating_range_and_unique_pairs(spark):
     r, _, _ = _frames(spark)
     clean, seen_in, seen_out = C.clean_ratings(r)
     rows = sorted(tuple(x) for x in clean.collect())
-    assert rows == [(1, 10, 5, 1000), (1, 20, 3, 1001), (2, 20, 4, 1003)]
+    assert rows == [(61, 410, 2, 7200), (61, 420, 5, 7260), (62, 420, 1, 7400)]
     assert seen_in.get["rows"] == 5 and seen_out.get["rows"] == 3
 
 
@@ -37,9 +37,9 @@ def test_dedupe_keeps_earliest(spark):
 def test_release_year_and_genre_flags(spark):
     _, m, _ = _frames(spark)
     dim = movie_dimension(C.clean_movies(m)).orderBy("movie_id").collect()
-    assert dim[0]["release_year"] == 1999 and dim[1]["release_year"] == 2005
-    assert (dim[0]["genre_action"], dim[0]["genre_comedy"], dim[0]["genre_drama"]) == (1, 1, 0)
-    assert dim[1]["genre_drama"] == 1
+    assert dim[0]["release_year"] == 1974 and dim[1]["release_year"] == 2019
+    assert (dim[0]["genre_western"], dim[0]["genre_romance"], dim[0]["genre_thriller"]) == (1, 1, 0)
+    assert dim[1]["genre_thriller"] == 1
     assert genre_slug("Children's") == "genre_childrens" and genre_slug("Film-Noir") == "genre_film_noir"
 
 
@@ -63,9 +63,9 @@ def test_feature_table_complete(spark):
     ft = feature_table(clean, movie_dimension(C.clean_movies(m)), C.clean_users(u))
     assert len(ft.columns) == 34
     assert C.null_audit(ft).first()["null_cells"] == 0
-    row = ft.filter("user_id = 1 AND movie_id = 10").first()
+    row = ft.filter("user_id = 61 AND movie_id = 410").first()
     assert row["movie_rating_count"] == 1 and row["user_rating_count"] == 2
-    assert row["rating_year"] == 1970 and row["release_year"] == 1999
+    assert row["rating_year"] == 1970 and row["release_year"] == 1974
     assert set(genre_slug(g) for g in GENRES) <= set(ft.columns)
 
 

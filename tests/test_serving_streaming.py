@@ -3,10 +3,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratewise.operators.requests import validate_requests
-from ratewise.operators.serving import serve_from_ranking, with_titles
+from ratewise.operators.serving import serve_from_ranking, serve_from_topk, with_titles
 from ratewise.sources.eventlog import append_events, event_records, read_event_log
 from ratewise.streaming.drain import drain
 from ratewise.streaming.windows import run_to_parquet, windowed_request_rate
@@ -20,17 +21,17 @@ def test_validation(spark):
 
 
 def test_serve_with_titles_and_event(spark):
-    catalog = spark.createDataFrame([(101, "Movie A"), (102, "Movie B"), (103, "Movie C")],
+    catalog = spark.createDataFrame([(811, "North Pier"), (812, "Long Shift"), (813, "Paper Boats")],
                                     "movie_id long, title string")
-    ranking = spark.createDataFrame([(101, 1), (102, 2), (103, 3), (104, 4)], "movie_id long, pos int")
+    ranking = spark.createDataFrame([(811, 1), (812, 2), (813, 3), (814, 4)], "movie_id long, pos int")
     reqs = spark.createDataFrame([(1, 42, 3, 0.0), (2, 7, 2, 1.0), (3, 9, 4, 2.0)],
                                  "event_id long, user_id long, k int, ts double")
     served = with_titles(serve_from_ranking(reqs, ranking), catalog)
     first = served.filter("event_id = 1").orderBy("rank").collect()
-    assert [(r["movie_id"], r["title"]) for r in first] == [(101, "Movie A"), (102, "Movie B"), (103, "Movie C")]
-    assert served.filter("movie_id = 104").first()["title"] == "Unknown title"
+    assert [(r["movie_id"], r["title"]) for r in first] == [(811, "North Pier"), (812, "Long Shift"), (813, "Paper Boats")]
+    assert served.filter("movie_id = 814").first()["title"] == "Unknown title"
     ev = event_records(served, ts_col="ts").filter("user_id = 7").first()
-    assert (ev["user_id"], ev["k"], ev["num_recommendations"], ev["movie_ids"]) == (7, 2, 2, [101, 102])
+    assert (ev["user_id"], ev["k"], ev["num_recommendations"], ev["movie_ids"]) == (7, 2, 2, [811, 812])
 
 
 def _records(path, recs):
@@ -41,22 +42,59 @@ def _records(path, recs):
             f.write(json.dumps(r) + "\n")
 
 
-def test_drain_restart_and_append(spark, scratch):
-    src, log, ckpt = f"{scratch}/topic", f"{scratch}/log", f"{scratch}/ckpt"
-    _records(src, [{"user_id": 1, "k": 2, "movie_ids": [101, 102]}, {"user_id": 2, "k": 1, "movie_ids": [103]}])
-    assert drain(spark, log, fmt="text", path=src, checkpoint=ckpt) == 2
-    rows = sorted((r["user_id"], r["k"], r["movie_ids"]) for r in read_event_log(spark, log).collect())
-    assert rows == [(1, 2, [101, 102]), (2, 1, [103])]
-    assert drain(spark, log, fmt="text", path=src, checkpoint=ckpt) == 0  # restart: nothing twice
-    _records(src, [{"user_id": 3, "k": 1, "movie_ids": [104]}])
-    assert drain(spark, log, fmt="text", path=src, checkpoint=ckpt) == 1
-    assert read_event_log(spark, log).count() == 3
+def test_drain_resumes_with_default_arguments(spark, scratch):
+    """Two drains with new files in between: every line once, as it was; bad lines set aside and counted."""
+    src, log = f"{scratch}/topic", f"{scratch}/log"
+    _records(src, [{"user_id": 31, "k": 2, "movie_ids": [7, 9]}, {"user_id": 32, "k": 1, "movie_ids": [4], "extra": "kept"}])
+    first = drain(spark, log, fmt="text", path=src)
+    assert (first.appended, first.quarantined) == (2, 0)
+    assert drain(spark, log, fmt="text", path=src).appended == 0  # nothing twice
+    with open(f"{src}/more.json", "w") as f:
+        f.write('{"k": 5}\n{"user_id": 33, broken\n[1, 2]\n{"user_id": 34, "movie_ids": []}\n')
+    second = drain(spark, log, fmt="text", path=src)
+    assert (second.appended, second.quarantined) == (2, 2)
+    lines = {r.value for r in spark.read.option("recursiveFileLookup", True).text(log).collect()}
+    assert '{"k": 5}' in lines and any('"extra": "kept"' in x for x in lines) and len(lines) == 4
+    bad = {r.value for r in spark.read.option("recursiveFileLookup", True).text(f"{log}.bad").collect()}
+    assert bad == {'{"user_id": 33, broken', "[1, 2]"}
+    assert read_event_log(spark, log).count() == 4
+
+
+def test_drain_counts_every_batch(spark, scratch):
+    src = f"{scratch}/many"
+    for k in range(120):
+        _records(src, [{"user_id": k, "k": 1, "movie_ids": [k]}])
+    got = drain(spark, f"{scratch}/many-log", fmt="text", path=src, options={"maxFilesPerTrigger": "1"})
+    assert got.appended == 120  # more batches than a query's progress history keeps
 
 
 def test_drain_nothing_there(spark, scratch):
     os.makedirs(f"{scratch}/empty-topic")
-    assert drain(spark, f"{scratch}/log2", fmt="text", path=f"{scratch}/empty-topic",
-                 checkpoint=f"{scratch}/ck2") == 0
+    assert drain(spark, f"{scratch}/log2", fmt="text", path=f"{scratch}/empty-topic").appended == 0
+
+
+def test_empty_list_is_an_event_and_invalid_k_stays(spark):
+    reqs = spark.createDataFrame([(1, 5, 2, 0.0), (2, 6, 2, 1.0), (3, 5, 500, 2.0)], "event_id long, user_id long, k int, ts double")
+    topk = spark.createDataFrame([(5, 70, 1), (5, 71, 2), (5, 72, 3)], "user_id long, movie_id long, rank int")
+    ev = {r.user_id: (r.num_recommendations, r.movie_ids)
+          for r in event_records(serve_from_topk(reqs.where("event_id < 3"), topk), ts_col="ts").collect()}
+    assert ev == {5: (2, [70, 71]), 6: (0, [])}
+    ranking = spark.createDataFrame([(70, 1), (71, 2)], "movie_id long, pos int")
+    served = serve_from_ranking(reqs, ranking)
+    got = {}
+    for r in served.collect():
+        got.setdefault(r.event_id, []).append(r.movie_id)
+    assert got[3] == [None] and sorted(got[1]) == [70, 71]
+
+
+def test_shared_folder_is_required_beyond_local_masters(monkeypatch):
+    from types import SimpleNamespace
+
+    from ratewise.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
 
 
 def test_append_events_keeps_old_rows(spark, scratch):
