@@ -8,16 +8,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewise.functions.text import multi_hot, release_year, split_field
 from ratewise.functions.time import year_of_epoch
-from ratewise.models.als import fit_implicit_als
-from ratewise.models.biased_mf import fit_biased_mf
+from ratewise.models.als import FactorModel, fit_implicit_als
+from ratewise.models.biased_mf import fit_biased_mf, fit_biases
 from ratewise.models.blocked import topk_dot
-from ratewise.models.bpr import fit_bpr
+from ratewise.models.bpr import BPRConfig, fit_bpr
 from ratewise.models.evaluation import evaluate_families, popularity_sweep, select_run
 from ratewise.models.popularity import PopularityModel
 from ratewise.operators import clean as C
@@ -39,7 +39,8 @@ from ratewise.sources.eventlog import event_records, parse_event_lines, read_eve
 from ratewise.sources.manifest import file_manifest
 from ratewise.streaming.concentration import read_item_counts, run_item_counts
 from ratewise.streaming.drain import drain, event_stream
-from ratewise.streaming.windows import run_to_parquet, windowed_latency, windowed_request_rate
+from ratewise.streaming.windows import (run_to_parquet, windowed_error_rate, windowed_latency, windowed_request_rate,
+                                        windowed_request_volume)
 
 R = 6  # digits kept for doubles
 MIN_RATINGS = 20
@@ -467,7 +468,101 @@ def served_drift_status(spark: SparkSession, sf: str) -> DataFrame:
     return st.select("dataset_drift", _r("drift_share"), "number_of_drifted_columns", "n_samples", "status")
 
 
+def mf_biases(spark: SparkSession, sf: str) -> DataFrame:
+    """Global mean, damped item and user biases of the training ratings."""
+    train, _ = _split(spark, sf)
+    mu, items, users = fit_biases(train.select("user_id", "movie_id", F.col("rating").cast("double").alias("rating")))
+    rows = items.select(F.lit("item").alias("kind"), F.col("movie_id").alias("id"), F.col("b_item").alias("bias"))
+    rows = rows.unionByName(users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), F.col("b_user").alias("bias")))
+    return rows.select("kind", "id", _r("bias"), F.round(mu, R).alias("mean"))
+
+
+def factor_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Factor prediction over every vector against its successor; unknown ids get the mean of the model."""
+    vectors = B.factors(spark, sf).select("id", F.col("features").cast("array<double>").alias("features"))
+    mean = B.clean(spark, sf).select(F.avg(F.col("rating").cast("double")).alias("mean"))
+    model = FactorModel(vectors, vectors, mean=materialise(mean, "mean"))
+    pairs = vectors.select(F.col("id").alias("user_id"), (F.col("id") + 1).alias("movie_id")) \
+        .unionByName(vectors.select((-F.col("id") - 1).alias("user_id"), F.col("id").alias("movie_id")))
+    return model.predict(pairs).select("user_id", "movie_id", _r("prediction", 4))
+
+
+def _list_checks(model, train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row: users with a list, rows, gaps in the ranks, seen items, breaks of the score order."""
+    rel, seen = relevant_items(test), seen_items(train)
+    recs = materialise(model.recommend(rel.select("user_id").distinct(), TOP_K, seen=seen), "lists")
+    by_user = Window.partitionBy("user_id").orderBy("rank")
+    marked = recs.join(seen.withColumn("known", F.lit(1)), ["user_id", "movie_id"], "left") \
+        .withColumn("place", F.row_number().over(by_user)).withColumn("before", F.lag("score").over(by_user))
+    return marked.agg(F.countDistinct("user_id").alias("users"), F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col("rank") != F.col("place")).alias("rank_gaps"),
+                      F.count_if(F.col("known") == 1).alias("seen_overlap"),
+                      F.count_if(F.col("before") < F.col("score") - 1e-9).alias("order_breaks"))
+
+
+def als_list_checks(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf)
+    return _list_checks(fit_implicit_als(train, rank=10, iterations=3), train, test)
+
+
+def mf_list_checks(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf)
+    return _list_checks(fit_biased_mf(train, rank=10, iterations=3), train, test)
+
+
+def bpr_list_checks(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf)
+    return _list_checks(fit_bpr(train, BPRConfig(factors=10, rounds=1, local_epochs=5)), train, test)
+
+
+def _request_stream(spark: SparkSession, sf: str, metrics, tag: str) -> DataFrame:
+    base = _scratch(spark, tag)
+    reqs = B.requests(spark, sf)
+    reqs.write.parquet(f"{base}/in")
+    run_to_parquet(spark, metrics(spark.readStream.schema(reqs.schema).parquet(f"{base}/in")), f"{base}/out")
+    out = spark.read.parquet(f"{base}/out")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def stream_error_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests as a file stream -> 1-minute windows of rejected and failed requests, closed windows."""
+    out = _request_stream(spark, sf, windowed_error_rate, "errstream")
+    return out.select("window_start", "window_end", "status", "errors", _r("rate_per_s"))
+
+
+def stream_request_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests as a file stream -> 5-minute volumes, closed windows."""
+    out = _request_stream(spark, sf, windowed_request_volume, "volstream")
+    return out.select("window_start", "window_end", "requests", "served_requests", "recommended_items")
+
+
+def stream_drain_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drains with default arguments and new files in between (one sparse event, one malformed line), and a
+    third that finds nothing: lines appended, set aside, in the log."""
+    base = _scratch(spark, "resume")
+    lines = materialise(B.event_log_json(spark, sf).withColumn("half", F.crc32(F.col("value").cast("binary")) % 2), "resume")
+    lines.where("half = 0").select("value").write.mode("append").text(f"{base}/in")
+    first = drain(spark, f"{base}/log", fmt="text", path=f"{base}/in")
+    extra = spark.createDataFrame([('{"k": 3}',), ('{"user_id": 1, "movie_ids": [',)], "value string")
+    lines.where("half = 1").select("value").unionByName(extra).write.mode("append").text(f"{base}/in")
+    second = drain(spark, f"{base}/log", fmt="text", path=f"{base}/in")
+    third = drain(spark, f"{base}/log", fmt="text", path=f"{base}/in")
+    log = read_event_log(spark, f"{base}/log")
+    return log.agg(F.count(F.lit(1)).alias("log_rows"), F.sum(F.size("movie_ids")).cast("long").alias("items")).select(
+        F.lit(first.appended + second.appended).cast("long").alias("appended"),
+        F.lit(first.quarantined + second.quarantined).cast("long").alias("quarantined"),
+        F.lit(third.appended + third.quarantined).cast("long").alias("again"), "log_rows", "items")
+
+
 CATALOGUE = {
+    "mf_biases": mf_biases,
+    "factor_predict": factor_predict,
+    "als_list_checks": als_list_checks,
+    "mf_list_checks": mf_list_checks,
+    "bpr_list_checks": bpr_list_checks,
+    "stream_error_rate": stream_error_rate,
+    "stream_request_volume": stream_request_volume,
+    "stream_drain_resume": stream_drain_resume,
     "feature_table": feature_table,
     "clean_ratings_audit": clean_ratings_audit,
     "parse_delimited": parse_delimited,

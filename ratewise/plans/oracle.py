@@ -45,6 +45,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp", mo
 
 cte("train", "SELECT user_id, movie_id, rating, \"timestamp\" FROM split WHERE NOT is_test", ["split"])
 cte("test", "SELECT user_id, movie_id, rating, \"timestamp\" FROM split WHERE is_test", ["split"])
+cte("mean", "SELECT avg(rating) AS g FROM train", ["train"])
+cte("item_bias", "SELECT movie_id, sum(rating - g) / (10.0 + count(*)) AS b FROM train CROSS JOIN mean GROUP BY movie_id",
+    ["train", "mean"])
 cte("rel", "SELECT DISTINCT user_id, movie_id FROM test WHERE rating >= 4", ["test"])
 
 cte("items", """
@@ -538,3 +541,51 @@ SELECT * FROM (
          round(quantile_disc(latency_ms, 0.95), 6) AS p95_ms
   FROM requests GROUP BY 1, 2)
 WHERE window_end <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'""", "requests")
+
+CLOSED = "WHERE window_end <= (SELECT max(ts) FROM requests) - INTERVAL '10 minutes'"
+
+SQL["stream_request_volume"] = with_ctes(f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '5 minutes', ts) AS window_start,
+         time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' AS window_end,
+         count(*) AS requests, count(*) FILTER (WHERE valid) AS served_requests,
+         CAST(coalesce(sum(k) FILTER (WHERE valid), 0) AS BIGINT) AS recommended_items
+  FROM checked GROUP BY 1, 2) {CLOSED}""", "checked", "requests")
+
+# the watermark follows the rows that the aggregate sees: the rejected and failed requests
+SQL["stream_error_rate"] = with_ctes("""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
+         time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
+         status, count(*) AS errors, round(count(*) / 60.0, 6) AS rate_per_s
+  FROM checked WHERE status <> '2xx' GROUP BY 1, 2, 3)
+WHERE window_end <= (SELECT max(ts) FROM checked WHERE status <> '2xx') - INTERVAL '10 minutes'""", "checked")
+
+SQL["stream_drain_resume"] = with_ctes("""
+SELECT count(*) + 1 AS appended, CAST(1 AS BIGINT) AS quarantined, CAST(0 AS BIGINT) AS again,
+       count(*) + 1 AS log_rows, CAST(sum(len(movie_ids)) AS BIGINT) AS items FROM events_log""", "events_log")
+
+SQL["mf_biases"] = with_ctes("""
+SELECT kind, id, round(bias, 6) AS bias, round(m.g, 6) AS mean FROM (
+  SELECT 'item' AS kind, movie_id AS id, b AS bias FROM item_bias
+  UNION ALL
+  SELECT 'user', t.user_id, sum(t.rating - m.g - i.b) / (15.0 + count(*))
+  FROM train t JOIN item_bias i USING (movie_id) CROSS JOIN mean m GROUP BY t.user_id) CROSS JOIN mean m""",
+                              "train", "mean", "item_bias")
+
+SQL["factor_predict"] = with_ctes("""
+SELECT p.user_id, p.movie_id, round(coalesce(list_inner_product(u.f, i.f), m.g), 4) AS prediction
+FROM (SELECT vec_id AS user_id, vec_id + 1 AS movie_id FROM embeddings
+      UNION ALL SELECT -vec_id - 1, vec_id FROM embeddings) p
+LEFT JOIN (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings) u ON u.vec_id = p.user_id
+LEFT JOIN (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings) i ON i.vec_id = p.movie_id
+CROSS JOIN (SELECT avg(rating) AS g FROM clean) m""", "clean")
+
+_LISTS = """
+SELECT count(*) FILTER (rows > 0) AS users, CAST(sum(rows) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rank_gaps,
+       CAST(0 AS BIGINT) AS seen_overlap, CAST(0 AS BIGINT) AS order_breaks
+FROM (SELECT r.user_id, least(10, (SELECT count(DISTINCT movie_id) FROM train) - coalesce(s.n, 0)) AS rows
+      FROM (SELECT DISTINCT user_id FROM rel) r
+      {join} JOIN (SELECT user_id, count(DISTINCT movie_id) AS n FROM train GROUP BY user_id) s USING (user_id))"""
+for _name, _join in (("als", ""), ("bpr", ""), ("mf", "LEFT")):       # biased MF serves every user
+    SQL[f"{_name}_list_checks"] = with_ctes(_LISTS.format(join=_join), "train", "rel")
