@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewise.session import apply_conf, ensure_checkpoint_dir, ship_package
@@ -39,6 +39,18 @@ def in_training_fold(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % 5 != 0, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, by: str, n: int, seed: int, id_col: str, *order: Column) -> DataFrame:
+    """At most ``n`` rows of each value of ``by`` (few values), those of lowest hash of the id, with their
+    ``place``.  Each value's rows are counted first and thinned by the hash to about twice ``n``, so what meets
+    in a task stays bounded, however many partitions there are.  ``order``: what else orders rows, the first
+    before the hash."""
+    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    u = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    thinned = rows.join(F.broadcast(sizes), by).where(u * F.col("_rows") < 2 * n + 100).drop("_rows")
+    window = Window.partitionBy(by).orderBy(*order[:1], u, id_col, *order[1:])
+    return thinned.withColumn("place", F.row_number().over(window)).where(F.col("place") <= n)
+
+
 # --- scratch tables -------------------------------------------------------------------------
 
 _SCRATCH: dict[str, str] = {}
@@ -72,6 +84,26 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# --- a set of ids as a filter of fixed size ------------------------------------------------------
+
+ID_BITS = 22                   # of the filter: 512 KB, whatever the number of ids
+
+
+def likely_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test that every id of the one-column ``ids`` passes, and few others: it goes before a join that
+    would otherwise shuffle whole texts.  At most 2 ** ``ID_BITS`` numbers reach the driver."""
+    bucket = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(1 << ID_BITS))
+    bits = np.zeros(1 << ID_BITS, dtype=bool)
+    bits[ids.select(bucket.alias("k")).distinct().toArrow()["k"].to_numpy()] = True
+    shared = ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    def run(buckets: pa.Array) -> pa.Array:
+        k = buckets.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[k >> 3] >> (7 - (k & 7)) & 1).astype(bool))
+
+    return lambda column: F.arrow_udf(run, "boolean")(F.pmod(F.xxhash64(column.cast("long")), F.lit(1 << ID_BITS)))
+
+
 # --- text of a batch as arrays ----------------------------------------------------------------
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

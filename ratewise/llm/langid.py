@@ -23,10 +23,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import LOWER, chunks, in_training_fold, text_bytes
+from ratewise.llm.common import LOWER, chunks, hash_sample, in_training_fold, text_bytes
 from ratewise.llm.hashtable import HashTable
 
 ORDER = 4
@@ -146,9 +146,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = (docs.where(in_training_fold(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                     text_bytes(text_col).alias("text")))
-    size = F.octet_length("text")
-    order = Window.partitionBy("lang").orderBy(size > SAMPLE_BYTES // 8, F.xxhash64(F.lit(5), "id"), "id", "text")
-    got = (rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_DOCS)
+    long = F.octet_length("text") > SAMPLE_BYTES // 8
+    got = (hash_sample(rows, "lang", SAMPLE_DOCS, 5, "id", long, F.col("text"))
            .select("lang", "place", F.substring("text", 1, SAMPLE_BYTES).alias("text")).toArrow())
     texts: dict[str, list[bytes]] = {}
     held: dict[str, int] = {}

@@ -21,10 +21,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import LOWER, RangeHash, chunks, in_training_fold, mix, text_bytes, words
+from ratewise.llm.common import LOWER, RangeHash, chunks, hash_sample, in_training_fold, mix, text_bytes, words
 from ratewise.llm.hashtable import HashTable
 
 EXAMPLES = 4096
@@ -218,8 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (labels.where(F.col(label_col).isNotNull() & in_training_fold(id_col))
              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).alias("label"))
              .withColumn("label", (F.col("label") > 0).cast("int")))
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(2), "id"), "id")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= EXAMPLES // 2)
+    chosen = hash_sample(known, "label", EXAMPLES // 2, 2, "id")
     rows = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
             .join(F.broadcast(chosen), "id"))                    # EXAMPLES rows of three numbers
     got = sorted(zip(*(c.to_pylist() for c in rows.select(F.xxhash64(F.lit(2), "id"), "id", "label", "text").toArrow().columns)))
