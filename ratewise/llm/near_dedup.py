@@ -12,10 +12,14 @@ uniform sample of it).  So each document lists only the rarest values, all but i
 ones, and a document with fewer than s values that occur elsewhere has no partner at all.  This keeps
 passages that many documents share out of the lists.
 
-Which pairs are tested: no list is expanded into all its pairs.  First every document of a list meets
-the list's smallest and largest document, which joins groups of copies at linear cost; then, in lists
-that still hold several components, the documents outside the list's main component meet all documents
-of other components.  Pairs inside a component are never made, no list and no partner is left out.
+Which pairs are tested: no list is expanded into all its pairs.  In a star round every document of a
+list meets the list's most central one (whose retained values occur most often elsewhere: the text
+that the copies of a group were made from, if it is there), which joins groups of copies at linear
+cost (``STARS`` above 1 adds rounds for the lists that still hold several components, with the most
+central document outside the list's main component).  At last the documents outside the main component meet all
+documents of other components.  Pairs that their sizes rule out, the number of shingles that other
+candidates have too, or the measured intersections with the list's central document, are left out at once; pairs inside a component are never made, no list and no
+partner is left out.
 
 Defined results: null or word-less text has an empty set and stays alone; fewer than five words form
 one shingle; rows of equal id count as one node; a null id is linked with nothing; other columns are
@@ -32,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import LOWER, chunks, mix, signed, store, text_bytes, window_hashes, word_hashes
+from ratewise.llm.common import LOWER, chunks, likely_in, mix, signed, store, text_bytes, window_hashes, word_hashes
 from ratewise.llm.components import components
 
 WIDTH = 5                   # words a shingle
 PERCENT = 75                # 100 * intersection >= PERCENT * union
 SKETCH = 64                 # retained values
+STARS = 1                   # star rounds
 LEAST_SHARED = 28           # of them shared at least by a pair at the threshold
-ID_BITS = 22                # of the candidates' prefilter (a fixed 512 KB)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,30 +93,18 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, full (the whole set as bytes) of the documents in ``ids``."""
-    spark = docs.sparkSession
-    got = ids.select(F.pmod(F.xxhash64("id"), F.lit(1 << ID_BITS)).alias("k")).distinct().toArrow()["k"].to_numpy()
-    bits = np.zeros(1 << ID_BITS, dtype=bool)
-    bits[got] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
+    """id, n, full (the whole set, ascending) of the documents in ``ids``."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
 
-    def maybe(hashed: pa.Array) -> pa.Array:
-        k = hashed.to_numpy(zero_copy_only=False)
-        return pa.array((shared.value[k >> 3] >> (7 - (k & 7)) & 1).astype(bool))
-
-    likely = F.arrow_udf(maybe, "boolean")(F.pmod(F.xxhash64("id"), F.lit(1 << ID_BITS)))
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column(1)):
                 sets, bounds = shingle_sets(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds).astype(np.int64)),
-                     pa.array([sets[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())],
-                    ["id", "n", "full"])
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(signed(sets)))], ["id", "n", "full"])
 
-    return rows.where(likely).join(ids, "id", "left_semi").mapInArrow(run, "id long, n long, full binary")
+    return rows.where(likely_in(ids)(F.col("id"))).join(ids, "id", "left_semi").mapInArrow(run, "id long, n long, full array<long>")
 
 
 def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -136,14 +128,11 @@ def _estimate_passes(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def _confirmed(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = np.zeros(len(a), dtype=bool)
-    for k, (p, q) in enumerate(zip(a, b)):
-        x, y = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-        if 100 * min(len(x), len(y)) >= PERCENT * max(len(x), len(y)):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out[k] = 100 * both >= PERCENT * (len(x) + len(y) - both)
-    return pa.array(out)
+def _intersections(a: pa.Array, b: pa.Array) -> pa.Array:
+    x, x_at = _values(a)
+    y, y_at = _values(b)
+    return pa.array([len(np.intersect1d(x[x_at[k]:x_at[k + 1]], y[y_at[k]:y_at[k + 1]], assume_unique=True))
+                     for k in range(len(a))], pa.int64())
 
 
 def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
@@ -152,21 +141,15 @@ def _with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
     return left.join(of.select(F.col("id").alias("a"), F.col(column).alias("of_a")), "a")
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that the estimate lets through and the full sets confirm."""
+def _measured(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, both (size of the intersection), linked of the pairs that the estimate lets through."""
     passes = F.arrow_udf(_estimate_passes, "boolean").asNondeterministic()
-    confirmed = F.arrow_udf(_confirmed, "boolean").asNondeterministic()
+    both = F.arrow_udf(_intersections, "long").asNondeterministic()
     likely = store(_with_both(pairs, sketches, "sketch").where(passes("of_a", "of_b")).select("a", "b"), "near-likely")
-    return store(_with_both(likely, sets, "full").where(confirmed("of_a", "of_b")).select("a", "b"), "near-links")
-
-
-def _ordered(one: str | Column, other: str | Column) -> list[Column]:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
-
-
-def _with_component(lists: DataFrame, found: DataFrame) -> DataFrame:
-    joined = lists.join(found.withColumnRenamed("node", "id"), "id", "left")
-    return joined.select("v", "id", F.coalesce("root", "id").alias("c"))
+    full = _with_both(likely, sets, "full")
+    union = F.size("of_a") + F.size("of_b") - F.col("both")
+    return store(full.withColumn("both", both("of_a", "of_b"))
+                 .select("a", "b", "both", (100 * F.col("both") >= PERCENT * union).alias("linked")), "near-measured")
 
 
 def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -176,34 +159,84 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     need = F.when(F.col("n") * 4 <= 3 * SKETCH, F.floor((3 * F.col("n") + 3) / 4)).otherwise(F.lit(LEAST_SHARED))
     per = (values.join(shared, "v").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
-           .withColumn("spare", F.size("vs") - need + 1).where("spare > 0"))
-    lists = store(per.select("id", F.explode(F.slice("vs", F.lit(1), F.col("spare").cast("int"))).alias("e"))
-                  .select(F.col("e.v").alias("v"), "id"), "near-lists")
+           .withColumn("spare", F.size("vs") - need + 1).where("spare > 0")
+           .withColumn("central", F.aggregate("vs", F.lit(0.0), lambda w, e: w + F.log2(e["df"]))))
+    per = per.withColumn("own", F.transform(F.slice("vs", F.lit(1), F.greatest(F.lit(0), F.col("spare").cast("int"))), lambda e: e["v"]))
+    lists = store(per.select("id", "n", "central", "own", F.explode("own").alias("v")), "near-lists")
     ids = lists.select("id").distinct()
     sets = store(full_sets(docs, ids, id_col, text_col).dropDuplicates(["id", "n"]), "near-sets")
+    lists = store(lists.join(_elsewhere(sets), "id"), "near-lists")
+    ids = lists.select("id").distinct()
     sketches = store(marks.select("id", "sketch").join(ids, "id", "left_semi"), "near-sketches")
 
-    # every document of a list against its smallest and its largest document
-    ends = lists.groupBy("v").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    met = lists.join(ends, "v")
-    stars = store(met.select(*_ordered("low", "id")).unionByName(met.select(*_ordered("id", "high")))
-                  .where("a < b").distinct(), "near-stars")
-    links = _links(stars, sketches, sets)
-    found = components(links)
-
-    # what is left: lists of several components, outside their main one
-    whole = store(_with_component(lists, found), "near-whole")
-    parts = whole.groupBy("v", "c").agg(F.count(F.lit(1)).alias("m"))
-    main = (parts.groupBy("v").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    tested: DataFrame | None = None
+    links: DataFrame | None = None
+    lists = lists.withColumn("p", F.lit(None).cast("long"))
+    open_lists = lists.withColumn("c", F.col("id"))          # lists that hold several components
+    for k in range(STARS):
+        outside = open_lists.where("c <> main") if k else open_lists
+        lead = (outside.groupBy("v").agg(F.max(F.struct("central", (-F.col("id")).alias("o"), "id", "n", "m", "c", "p")).alias("t"))
+                .select("v", *[F.col(f"t.{x}").alias(f"{x}_a") for x in CARRIED]))
+        pairs = store(_pairs(open_lists, lead, tested), "near-stars")
+        measured = _measured(pairs, sketches, sets)
+        own = measured.where("linked").select("a", "b")
+        links = own if links is None else links.unionByName(own)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if not k:
+            lists = _with_pivot(lists, lead, measured)
+        open_lists = _open(lists, components(links))
+    # a pair that stands in several lists is made in the smallest of them only; there, too, one of both is
+    # outside the main component
+    minor = open_lists.where("c <> main").select("v", F.col("own").alias("own_a"), *[F.col(x).alias(f"{x}_a") for x in CARRIED])
+    once = (F.col("v") == F.array_min(F.array_intersect("own", "own_a"))) & ((F.col("c") == F.col("main")) | (F.col("id_a") < F.col("id")))
+    rest = store(_pairs(open_lists, minor, tested, once), "near-rest")
+    return components(links.unionByName(_measured(rest, sketches, sets).where("linked").select("a", "b")))
+
+
+CARRIED = ("id", "n", "m", "c", "p")
+
+
+def _with_pivot(lists: DataFrame, lead: DataFrame, measured: DataFrame) -> DataFrame:
+    """The lists with p, the size of each document's intersection with its list's lead where it was measured."""
+    led = lists.drop("p").join(lead.select("v", "id_a"), "v")
+    led = led.withColumn("a", F.least("id", "id_a")).withColumn("b", F.greatest("id", "id_a"))
+    return store(led.join(measured.select("a", "b", "both"), ["a", "b"], "left")
+                 .select("v", "id", "n", "central", "own", "m", F.col("both").alias("p")), "near-lists")
+
+
+def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None, only: Column | None = None) -> DataFrame:
+    """a, b: the leads of each list with its documents of other components, but those that can't be linked.
+
+    An intersection i of sets of sizes n and n_a needs (100 + P) * i >= P * (n + n_a).  It is at most the
+    smaller of the sets, and of m, their shingles that other candidates have too.  What both have in common
+    with a third document, the list's lead, is at most the smaller p; what they share beside it is at most the
+    smaller rest m - p."""
+    most = F.least("n", "n_a", "m", "m_a")
+    beside = F.least("p", "p_a") + F.least(F.col("m") - F.col("p"), F.col("m_a") - F.col("p_a"))
+    most = F.when(F.col("p").isNull() | F.col("p_a").isNull(), most).otherwise(F.least(most, beside))
+    fits = (100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("n_a"))
+    made = lists.join(leads, "v").where((F.col("c") != F.col("c_a")) & fits)
+    made = made if only is None else made.where(only)
+    pairs = (made.select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def _elsewhere(sets: DataFrame) -> DataFrame:
+    """id, m: how many shingles of a candidate's whole set other candidates have too (an upper bound of every
+    intersection), of the candidates for which that can be enough."""
+    values = sets.select("id", "n", F.explode("full").alias("v"))
+    shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("v")
+    return (values.join(shared, "v").groupBy("id", "n").agg(F.count(F.lit(1)).alias("m"))
+            .where(100 * F.col("m") >= PERCENT * F.col("n")).select("id", "m"))
+
+
+def _open(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists that hold several components, each row with its component ``c`` and the list's largest, ``main``."""
+    whole = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("root", "id")).drop("root")
+    parts = whole.groupBy("v", "c").agg(F.count(F.lit(1)).alias("rows"))
+    main = (parts.groupBy("v").agg(F.max(F.struct("rows", "c")).alias("top"), F.count(F.lit(1)).alias("parts"))
             .where("parts > 1").select("v", F.col("top.c").alias("main")))
-    mixed = store(whole.join(main, "v"), "near-mixed")
-    minor = mixed.where("c <> main").select("v", F.col("id").alias("id_a"), F.col("c").alias("c_a"))
-    rest = (minor.join(mixed, "v").where("c_a <> c AND (c = main OR id_a < id)")
-            .select(*_ordered("id_a", "id")).distinct())
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = _links(store(rest, "near-rest"), sketches, sets)
-    return components(links.unionByName(more))
-
+    return store(whole.join(main, "v"), "near-open")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
