@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import LOWER, chunks, signed, store, text_bytes, word_hashes
+from ratewise.llm.common import LOWER, chunks, likely_in, signed, store, text_bytes, word_hashes
 from ratewise.llm.hashtable import HashTable
 
 WORD_SHARE = 2e-5
@@ -144,8 +144,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     background = docs.select(text_bytes(text_col).alias("text"))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id")).distinct()
-    target = store(docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
-                   .join(good, "id", "left_semi").select("text"), "lm-target")
+    good = store(good.where("id IS NOT NULL"), "lm-good")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
+    target = store(rows.where(likely_in(good)(F.col("id"))).join(good.hint("merge"), "id", "left_semi").select("text"),
+                   "lm-target")
 
     def word_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return word_hashes(LOWER[data], offsets)[0]
