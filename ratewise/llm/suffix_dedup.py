@@ -6,8 +6,10 @@ distance.  The starts of one anchor occurrence form a context, the text they cov
 
 1. anchor hashes are counted over all documents; an anchor met once has no repeated string, and an
    anchor whose contexts are all equal has only repeated ones;
-2. for the other anchors, the distinct contexts are dealt by anchor, gathered into shards of about
-   ``SHARD_BYTES``, and each shard's suffix array (induced sorting) and permuted common prefixes tell the
+2. for the other anchors, a context keeps only the starts that can be repeated: a string that reaches a
+   step of ``REACH`` bytes to the left or right of its anchor needs those bytes, anchor included, to be met
+   elsewhere, which hashes of the steps tell; the distinct contexts that are left are dealt by anchor,
+   gathered into shards of about ``SHARD_BYTES``, and each shard's suffix array (induced sorting) and permuted common prefixes tell the
    starts whose string of ``length`` bytes stands elsewhere too; equal contexts are folded before the
    shuffle and count as repeated;
 3. anchors in more than 1 / ``HOT_SHARE`` of all occurrences (fewer than ``HOT_SHARE`` anchors, whatever the
@@ -26,6 +28,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,7 @@ GRAM = 48
 SEGMENT = 1 << 19           # starts of a long document looked at together
 SHARD_BYTES = 1 << 20
 HOT_SHARE = 20_000
+REACH = 38                  # bytes a step to the left or right of an anchor
 FILTER_BITS = 24            # of the anchors' prefilter (a fixed 2 MB a map)
 
 
@@ -50,7 +54,8 @@ class Occurrences:
         self.hashes = RangeHash(data)
         empty = np.zeros(0, np.int64)
         self.anchor = self.context = np.zeros(0, np.uint64)
-        self.piece, self.start, self.starts = empty, empty, empty
+        self.piece, self.start, self.starts, self.at = empty, empty, empty, empty
+        self.pieces = pieces
         n = len(data)
         if n < length:
             return
@@ -70,13 +75,39 @@ class Occurrences:
         first = np.flatnonzero(np.append(True, (where[1:] != where[:-1]) | (np.diff(starts) != 1)))
         self.starts = np.diff(np.append(first, len(starts)))
         self.start = starts[first]
-        self.anchor = gram[where[first]]
+        self.at = where[first]
+        self.anchor = gram[self.at]
         self.piece = piece[self.start]
         self.context = self.hashes.of(self.start, self.end())
 
     def end(self) -> np.ndarray:
         return self.start + self.starts - 1 + self.length
 
+    def steps(self, pick: np.ndarray) -> Iterator[tuple[bool, int, np.ndarray, np.ndarray]]:
+        """For each step to the left and to the right of the picked anchors: side, step, which of them have
+        it inside their piece, and the hash of its bytes with the anchor's."""
+        at, lo, hi = self.at[pick], self.pieces[self.piece[pick]], self.pieces[self.piece[pick] + 1]
+        for left in (True, False):
+            for step in range(REACH, self.length - GRAM + 1, REACH):
+                a, b = (at - step, at + GRAM) if left else (at, at + GRAM + step)
+                there = (a >= lo) & (b <= hi)
+                key = self.hashes.of(np.where(there, a, at), np.where(there, b, at + GRAM))
+                yield left, step, there, mix(key ^ np.uint64(2 * step + left))
+
+    def trimmed(self, pick: np.ndarray, met: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Of the picked contexts those with starts that can be repeated: which, first start, number of starts
+        and hash of what these cover.  ``met`` tells whether a step's hash may stand elsewhere."""
+        reach = {True: np.zeros(len(pick), np.int64), False: np.zeros(len(pick), np.int64)}
+        for left, step, there, key in self.steps(pick):
+            grows = (reach[left] == step - REACH) & there
+            reach[left] = np.where(grows & met(key), step, reach[left])
+        first = np.maximum(self.start[pick], self.at[pick] - reach[True] - (REACH - 1))
+        last = np.minimum(self.start[pick] + self.starts[pick] - 1,
+                          self.at[pick] + GRAM + reach[False] + (REACH - 1) - self.length)
+        some = first <= last
+        first, last = first[some], last[some]
+        return pick[some], first, last - first + 1, self.hashes.of(first, last + self.length)
+
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` values."""
@@ -164,17 +195,21 @@ def _shard_verdicts(texts: list[bytes], starts: list[int], copies: list[int], le
     return [np.full(n, True) if c > 1 else again[o:o + n] for o, n, c in zip(offsets, starts, copies)]
 
 
+def _folded(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of the places of each distinct pair (h, c), and how often the pair stands."""
+    order = np.lexsort((c, h))
+    first = np.flatnonzero(np.append(True, (h[order][1:] != h[order][:-1]) | (c[order][1:] != c[order][:-1])))
+    return order[first], np.diff(np.append(first, len(h)))
+
+
 def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
-    """id, key, at, n, mask: contexts with repeated starts; ``mask`` has a bit for each of the n starts
-    from ``at`` on, null if all are repeated."""
+    """id, key, at, n: runs of n repeated starts from ``at`` on."""
     spark = rows.sparkSession
 
     def fold(found, batch, of, at):
-        order = np.lexsort((found.context, found.anchor))
-        h, c = found.anchor[order], found.context[order]
-        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
-        n = np.diff(np.append(first, len(h)))
-        yield pa.RecordBatch.from_arrays([pa.array(signed(h[first])), pa.array(signed(c[first])), pa.array(n)], ["h", "c", "n"])
+        one, n = _folded(found.anchor, found.context)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(found.anchor[one])), pa.array(signed(found.context[one])),
+                                          pa.array(n)], ["h", "c", "n"])
 
     counts = _scan(rows, length, fold, "h long, c long, n long").groupBy("h").agg(
         F.sum("n").alias("n"), F.min("c").alias("c"), F.max("c").alias("c_max"))
@@ -191,18 +226,32 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
             return np.zeros(len(anchor), dtype=bool)
         return hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
 
-    # distinct contexts of mixed anchors -> shards
+    def is_mixed(anchor: np.ndarray) -> np.ndarray:
+        return _likely(share.value[1], anchor) & ~is_hot(anchor)
+
+    # steps around mixed anchors that stand more than once
+    def steps(found, batch, of, at):
+        pick = np.flatnonzero(is_mixed(found.anchor))
+        keys = [key[there] for _, _, there, key in found.steps(pick)]
+        if len(pick):
+            k, n = np.unique(np.concatenate(keys), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(n)], ["h", "n"])
+
+    twice = _scan(rows, length, steps, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    reached = spark.sparkContext.broadcast(_filter(twice))
+
+    def may_be_met(key: np.ndarray) -> np.ndarray:
+        return _likely(reached.value, key)
+
+    # distinct trimmed contexts of mixed anchors -> shards
     def contexts(found, batch, of, at):
-        ok = np.flatnonzero(_likely(share.value[1], found.anchor) & ~is_hot(found.anchor))
-        if len(ok):
-            order = ok[np.lexsort((found.context[ok], found.anchor[ok]))]
-            h, c = found.anchor[order], found.context[order]
-            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
-            n = np.diff(np.append(first, len(h)))
-            one, end = order[first], found.end()
+        pick, start, starts, context = found.trimmed(np.flatnonzero(is_mixed(found.anchor)), may_be_met)
+        if len(pick):
+            one, n = _folded(found.anchor[pick], context)
+            end = start + starts - 1 + length
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h[first])), pa.array(signed(c[first])), pa.array(n), pa.array(found.starts[one]),
-                 pa.array([found.data[found.start[k]:end[k]].tobytes() for k in one], pa.binary())],
+                [pa.array(signed(found.anchor[pick][one])), pa.array(signed(context[one])), pa.array(n), pa.array(starts[one]),
+                 pa.array([found.data[start[k]:end[k]].tobytes() for k in one], pa.binary())],
                 ["h", "c", "n", "starts", "text"])
 
     def sort_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,15 +259,12 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
         size = 0
 
         def verdicts() -> Iterator[pa.RecordBatch]:
-            own = [x for x in held]
-            if not own:
+            if not held:
                 return
-            masks = _shard_verdicts([x[4] for x in own], [x[3] for x in own], [x[2] for x in own], length)
-            some = [(x[0], x[1], m) for x, m in zip(own, masks) if m.any()]
-            if some:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s[0] for s in some], pa.int64()), pa.array([s[1] for s in some], pa.int64()),
-                     pa.array([np.packbits(s[2]).tobytes() for s in some], pa.binary())], ["h", "c", "mask"])
+            masks = _shard_verdicts([x[4] for x in held], [x[3] for x in held], [x[2] for x in held], length)
+            runs = [(x[0], x[1], a, b - a) for x, m in zip(held, masks) for a, b in _runs(m)]
+            if runs:
+                yield pa.RecordBatch.from_arrays([pa.array(col, pa.int64()) for col in zip(*runs)], ["h", "c", "first", "n"])
 
         for b in batches:
             for h, c, n, starts, text in zip(*(b.column(k).to_pylist() for k in range(5))):
@@ -234,68 +280,91 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
 
     dealt = _scan(rows, length, contexts, "h long, c long, n long, starts long, text binary")
     sorted_shards = (dealt.repartition("h").sortWithinPartitions("h", "c")
-                     .mapInArrow(sort_shards, "h long, c long, mask binary"))
-    alike = again.where("c = c_max").select("h", "c", F.lit(None).cast("binary").alias("mask"))
+                     .mapInArrow(sort_shards, "h long, c long, first long, n long")).select("*", F.lit(1).alias("kind"))
+    alike = again.where("c = c_max").select("h", "c", F.lit(0).cast("long").alias("first"),
+                                            F.lit(None).cast("long").alias("n"), F.lit(0).alias("kind"))
     verdicts = store(sorted_shards.unionByName(alike), "suffix-verdicts")
 
-    # occurrences with their verdict
+    # occurrences, as they are (kind 0) and trimmed (kind 1), with their verdict
     def occurrences(found, batch, of, at):
-        ok = np.flatnonzero(_likely(share.value[0], found.anchor) & ~is_hot(found.anchor))
-        if len(ok):
-            take = pa.array(of[ok])
+        mixed = is_mixed(found.anchor)
+        own = np.flatnonzero(_likely(share.value[0], found.anchor) & ~is_hot(found.anchor))
+        pick, start, starts, context = found.trimmed(np.flatnonzero(mixed), may_be_met)
+        both = np.concatenate([own, pick])
+        if len(both):
+            take = pa.array(of[both])
+            place = np.concatenate([at[own], at[pick] + start - found.start[pick]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(signed(found.anchor[ok])),
-                 pa.array(signed(found.context[ok])), pa.array(at[ok]), pa.array(found.starts[ok])],
-                ["id", "key", "h", "c", "at", "n"])
-
-    cold = (_scan(rows, length, occurrences, "id long, key long, h long, c long, at long, n long")
-            .join(verdicts, ["h", "c"]).select("id", "key", "at", "n", "mask"))
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(signed(found.anchor[both])),
+                 pa.array(signed(np.concatenate([found.context[own], context]))), pa.array(place),
+                 pa.array(np.concatenate([found.starts[own], starts])),
+                 pa.array(np.repeat([0, 1], [len(own), len(pick)]).astype(np.int32))],
+                ["id", "key", "h", "c", "at", "all", "kind"])
+
+    cold = (_scan(rows, length, occurrences, "id long, key long, h long, c long, at long, all long, kind int")
+            .join(verdicts, ["h", "c", "kind"])
+            .select("id", "key", (F.col("at") + F.col("first")).alias("at"), F.coalesce("n", "all").alias("n")))
     if not len(hot):
         return cold
 
     # starts of hot anchors, one by one
-    def strings(found, batch, of, at):
-        ok = np.flatnonzero(is_hot(found.anchor))
+    def string_hashes(found):
+        pick = np.flatnonzero(is_hot(found.anchor))
+        n = found.starts[pick]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(found.start[pick], n) + within
+        return (np.repeat(pick, n), within, found.hashes.of(start, start + length), found.hashes.of(start, start + length // 2))
+
+    def count_strings(found, batch, of, at):
+        _, _, x, y = string_hashes(found)
+        if len(x):
+            one, n = _folded(x, y)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(x[one])), pa.array(signed(y[one])), pa.array(n)], ["x", "y", "m"])
+
+    strings = _scan(rows, length, count_strings, "x long, y long, m long").groupBy("x", "y").agg(F.sum("m").alias("m"))
+    repeated = store(strings.where("m > 1").select("x", "y"), "suffix-hot")
+    likely = spark.sparkContext.broadcast(_filter(repeated.select(F.col("x").alias("h"))))
+
+    def place_strings(found, batch, of, at):
+        pick, within, x, y = string_hashes(found)
+        ok = np.flatnonzero(_likely(likely.value, x)) if len(x) else np.zeros(0, np.int64)
         if len(ok):
-            n = found.starts[ok]
-            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            start = np.repeat(found.start[ok], n) + within
-            take = pa.array(np.repeat(of[ok], n))
-            half = start + length // 2
-            x, y = found.hashes.of(start, start + length), found.hashes.of(start, half)
+            take = pa.array(of[pick[ok]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(signed(x)), pa.array(signed(y)),
-                 pa.array(np.repeat(at[ok], n) + within)], ["id", "key", "x", "y", "at"])
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(signed(x[ok])), pa.array(signed(y[ok])),
+                 pa.array(at[pick[ok]] + within[ok])], ["id", "key", "x", "y", "at"])
+
+    single = _scan(rows, length, place_strings, "id long, key long, x long, y long, at long")
+    warm = single.join(repeated, ["x", "y"], "left_semi")
+    return cold.unionByName(warm.select("id", "key", "at", F.lit(1).cast("long").alias("n")))
+
 
-    single = _scan(rows, length, strings, "id long, key long, x long, y long, at long")
-    twice = single.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("x", "y")
-    warm = single.join(store(twice, "suffix-hot"), ["x", "y"], "left_semi")
-    return cold.unionByName(warm.select("id", "key", "at", F.lit(1).cast("long").alias("n"),
-                                        F.lit(None).cast("binary").alias("mask")))
+def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of True, end exclusive."""
+    change = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
+    return list(zip(change[::2].tolist(), change[1::2].tolist()))
 
 
-def _removed(texts: pa.Array, at: pa.Array, n: pa.Array, masks: pa.Array, length: int) -> pa.Array:
+def _removed(texts: pa.Array, hits: pa.Array, length: int) -> pa.Array:
     n_bytes, begins, finishes, counts, kept = [], [], [], [0], []
+    has_hits = hits.is_valid().to_numpy(zero_copy_only=False)
+    bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(hits), 0).to_numpy())])
+    flat = hits.flatten()
+    at, n = flat.field("at").to_numpy(), flat.field("n").to_numpy()
     for k, text in enumerate(texts):
         data = np.frombuffer(text.as_buffer(), np.uint8)
         n_bytes.append(len(data))
-        own = at[k]
-        if not own.is_valid or not len(own.values):
+        if not has_hits[k]:
             counts.append(counts[-1])
             kept.append(data.tobytes())
             continue
-        edge = np.zeros(len(data) + 1, dtype=np.int64)
-        for first, count, mask in zip(own.values.to_pylist(), n[k].values.to_pylist(), masks[k].values.to_pylist()):
-            hit = np.arange(first, first + count) if mask is None else \
-                first + np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8), count=count))
-            np.add.at(edge, hit, 1)
-            np.add.at(edge, hit + length, -1)
+        own = slice(bounds[k], bounds[k + 1])
+        edge = np.bincount(at[own], minlength=len(data) + 1) - np.bincount(at[own] + n[own] - 1 + length, minlength=len(data) + 1)
         gone = np.cumsum(edge[:-1]) > 0
-        change = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-        begins += starts.tolist()
-        finishes += ends.tolist()
-        counts.append(counts[-1] + len(starts))
+        runs = _runs(gone)
+        begins += [a for a, _ in runs]
+        finishes += [b for _, b in runs]
+        counts.append(counts[-1] + len(runs))
         kept.append(data[~gone].tobytes())
     spans = pa.StructArray.from_arrays([pa.array(begins, pa.int64()), pa.array(finishes, pa.int64())], ["start", "end"])
     return pa.StructArray.from_arrays(
@@ -310,13 +379,13 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
     rows = rows.select("id", F.xxhash64("id", "text").alias("key"), "text")
     found = repeated_starts(rows.where(F.octet_length("text") >= length), length)
-    per = found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "n", "mask")).alias("hits"))
+    per = found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
     per = per.select(F.col("id").alias("hit_id"), F.col("key").alias("hit_key"), "hits")
 
-    def run(texts: pa.Array, at: pa.Array, n: pa.Array, masks: pa.Array) -> pa.Array:
-        return _removed(texts, at, n, masks, length)
+    def run(texts: pa.Array, hits: pa.Array) -> pa.Array:
+        return _removed(texts, hits, length)
 
     cut = F.arrow_udf(run, "struct<n_bytes:long,spans:array<struct<start:long,end:long>>,kept:binary>").asNondeterministic()
     joined = rows.join(per.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key")), "left")
-    done = joined.select("id", cut("text", "hits.at", "hits.n", "hits.mask").alias("r"))
+    done = joined.select("id", cut("text", "hits").alias("r"))
     return done.select(F.col("id").alias("doc_id"), "r.n_bytes", "r.spans", "r.kept")
