@@ -5,11 +5,15 @@ Both share one vocabulary, the same bigram selection and the same smoothing, so
 counts differ; a document's score is its background loss minus its target loss per token (higher:
 more like the target).
 
-Vocabulary: words of at least ``WORD_SHARE`` of a corpus's tokens, so at most 2 / ``WORD_SHARE`` words
-at any size; every other word is the unknown word.  Bigrams of at least ``PAIR_SHARE`` of a corpus's
-pairs are kept (at most 2 / ``PAIR_SHARE``), discounted by ``DISCOUNT``; what they leave over is given
-to the unigrams.  Both bounds are shares, not counts: the model has a proven size and the counts
-behind it cover every token of every document.
+Every word and every pair of words that occurs is kept, so the model grows with the input: it is a
+table in the shared folder, never a broadcast.  Pairs leave the map tasks counted; the losses of a
+pair come from joins with its words' tables; a document's distinct pairs are joined with the losses
+and summed.  Words and pairs in more than 1 / ``HOT_SHARE`` of all tokens (so fewer than
+``HOT_SHARE``, whatever the input) are broadcast instead, which leaves no key that could overload a
+task.  Pairs are discounted by ``DISCOUNT``; what that leaves over is given to the unigrams.
+
+``WORD_SHARE`` and ``PAIR_SHARE`` can restrict the model to words and pairs of at least a share of
+either corpus; other words are then the unknown word.  They are 0: nothing is left out.
 
 Defined results: null text counts as empty; a text without words has no tokens, losses and score 0;
 without good labels the target is uniform; a document labelled twice is good if any label says so;
@@ -18,170 +22,205 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import LOWER, chunks, likely_in, signed, store, text_bytes, word_hashes
+from ratewise.llm.common import LOWER, chunks, likely_in, mix, signed, store, text_bytes, word_hashes
 from ratewise.llm.hashtable import HashTable
 
-WORD_SHARE = 2e-5
-PAIR_SHARE = 2e-6
+WORD_SHARE = 0.0
+PAIR_SHARE = 0.0
 DISCOUNT = 0.75
 ADD = 0.5                   # added to every word's count
-UNKNOWN, START = 0, 1       # ids; words follow
-HELD = 1_000_000            # distinct keys a task holds before it passes its counts on
+UNKNOWN, START = 0, 1       # in the place of a word's hash
+HELD = 1_000_000            # distinct pairs a task holds before it passes its counts on
+HOT_SHARE = 20_000
+
+
+def _pairs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each pair of a chunk, of the word before (START at a row's beginning) and of the word; row."""
+    second, row = word_hashes(LOWER[data], offsets)
+    first = np.empty_like(second)
+    if len(second):
+        first[0] = START
+        first[1:] = np.where(row[1:] == row[:-1], second[:-1], np.uint64(START))
+    return mix(mix(first) + second), first, second, row
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return k, np.bincount(inverse, np.concatenate(counts), minlength=len(k)).astype(np.int64)
+def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    k, a, b, n = (np.concatenate(x) for x in zip(*held))
+    k, first, inverse = np.unique(k, return_index=True, return_inverse=True)
+    return k, a[first], b[first], np.bincount(inverse, n, minlength=len(k)).astype(np.int64)
 
 
-def counted(texts: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """k, n: occurrences of each key in the binary column ``text``, pre-aggregated in the map tasks.
-    ``keys_of`` gives the 64-bit keys of a chunk of texts."""
+def counted(texts: DataFrame) -> DataFrame:
+    """k, a, b, n: occurrences of each pair in the binary column ``text``, summed within the map tasks only."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for lo in range(0, len(k), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(k[lo:lo + 100_000])), pa.array(n[lo:lo + 100_000])], ["k", "n"])
+        def out(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(columns[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(signed(x[lo:lo + 100_000])) for x in columns],
+                                                 ["k", "a", "b", "n"])
 
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
-                k, n = np.unique(keys_of(data, offsets), return_counts=True)
-                keys.append(k), counts.append(n)
-                if sum(map(len, keys)) > 2 * HELD:
-                    k, n = _summed(keys, counts)
-                    keys, counts = [k], [n]
-                    if len(k) > HELD:
-                        yield from out(k, n)
-                        keys, counts = [], []
-        if keys:
-            yield from out(*_summed(keys, counts))
-
-    return texts.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-
-
-def _both(target: DataFrame, background: DataFrame, keys_of, tag: str) -> tuple[DataFrame, int, int]:
-    """k, t, b and the totals of both corpora."""
-    t = counted(target, keys_of).select("k", F.col("n").alias("t"), F.lit(0).cast("long").alias("b"))
-    b = counted(background, keys_of).select("k", F.lit(0).cast("long").alias("t"), F.col("n").alias("b"))
-    both = store(t.unionByName(b).groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), tag)
-    totals = both.agg(F.sum("t"), F.sum("b")).first()
-    return both, totals[0] or 0, totals[1] or 0
-
-
-def _frequent(both: DataFrame, totals: tuple[int, int], share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of at least ``share`` of either corpus (2 / share rows at most), with their counts."""
-    least = [max(1.0, share * n) for n in totals]
-    got = both.where((F.col("t") >= least[0]) | (F.col("b") >= least[1])).orderBy("k").toArrow()
-    return got["k"].to_numpy().view(np.uint64), got["t"].to_numpy(), got["b"].to_numpy()
-
-
-class BigramModels:
-    """Losses in bits of both models (column 0: target, 1: background)."""
-
-    def __init__(self, words: tuple[np.ndarray, np.ndarray, np.ndarray], totals: tuple[int, int]):
-        self.words = HashTable(words[0], np.zeros((len(words[0]), 0)))
-        self.size = len(words[0]) + 2
-        counts = np.zeros((self.size, 2))
-        counts[2:] = np.column_stack(words[1:])
-        counts[UNKNOWN] = np.array(totals) - counts[2:].sum(axis=0)
-        self.totals = np.array(totals, dtype=float)
-        probability = (counts + ADD) / (self.totals + ADD * (self.size - 1))       # START is never predicted
-        self.unigram = -np.log2(probability)
-        self.left = np.zeros((self.size, 2))
-        self.pairs = HashTable(np.zeros(0, np.uint64), np.zeros((0, 2)))
-
-    def add_pairs(self, keys: np.ndarray, target: np.ndarray, background: np.ndarray, contexts: np.ndarray) -> None:
-        """Kept pairs and their counts; ``contexts``: how often each word is followed by another."""
-        counts = np.column_stack([target, background]).astype(float)
-        first, second = (keys >> np.uint64(20)).astype(np.int64), (keys & np.uint64((1 << 20) - 1)).astype(np.int64)
-        own = np.maximum(counts - DISCOUNT, 0) / np.maximum(contexts[first], 1)
-        taken = np.column_stack([np.bincount(first, own[:, k], minlength=self.size) for k in range(2)])
-        rest = np.clip(1 - taken, 1e-6, 1)
-        self.left = -np.log2(rest)
-        self.pairs = HashTable(keys, -np.log2(own + rest[first] * np.exp2(-self.unigram[second])))
-
-    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word ids of a chunk and their rows."""
-        hashes, row = word_hashes(LOWER[data], offsets)
-        at = self.words.find(hashes)
-        return np.where(at >= 0, at + 2, UNKNOWN), row
-
-    def keys(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pair keys: the id before (START at a row's beginning) and the id."""
-        ids, row = self.ids(data, offsets)
-        before = np.empty_like(ids)
-        if len(ids):
-            before[0] = START
-            before[1:] = np.where(row[1:] == row[:-1], ids[:-1], START)
-        return (before.astype(np.uint64) << np.uint64(20)) | ids.astype(np.uint64), row
-
-    def losses(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each row, and their summed losses under both models."""
-        n = len(offsets) - 1
-        keys, row = self.keys(data, offsets)
-        at = self.pairs.find(keys)
-        known = at >= 0
-        bits = np.empty((len(keys), 2))
-        bits[known] = self.pairs.values[at[known]]
-        first, second = (keys >> np.uint64(20)).astype(np.int64), (keys & np.uint64((1 << 20) - 1)).astype(np.int64)
-        bits[~known] = self.left[first[~known]] + self.unigram[second[~known]]
-        return (np.bincount(row, minlength=n),
-                np.column_stack([np.bincount(row, bits[:, k], minlength=n) for k in range(2)]))
+                k, a, b, _ = _pairs(data, offsets)
+                held.append(_summed([(k, a, b, np.ones(len(k)))]))
+                if sum(len(x[0]) for x in held) > 2 * HELD:
+                    held = [_summed(held)]
+                    if len(held[0][0]) > HELD:
+                        yield from out(*held[0])
+                        held = []
+        if held:
+            yield from out(*_summed(held))
+
+    return texts.select("text").mapInArrow(run, "k long, a long, b long, n long")
+
+
+def _totals(pairs: DataFrame) -> tuple[int, int]:
+    got = pairs.agg(F.sum("t"), F.sum("c")).first()
+    return got[0] or 0, got[1] or 0
+
+
+def _enough(share: float, totals: tuple[int, int]) -> Column:
+    """At least ``share`` of either corpus."""
+    return (F.col("t") >= max(1.0, share * totals[0])) | (F.col("c") >= max(1.0, share * totals[1]))
+
+
+def _joined(rows: DataFrame, side: DataFrame, on: str, hot: Column) -> DataFrame:
+    """``rows`` with the columns of ``side`` (unique ``on``); its ``hot`` rows are broadcast."""
+    few, many = F.broadcast(side.where(hot)), side.where(~hot)
+    cold = rows.join(F.broadcast(side.where(hot).select(on)), on, "left_anti").join(many.hint("shuffle_hash"), on)
+    return rows.join(few, on).unionByName(cold)
+
+
+def _mapped(pairs: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """k, a, b, t, c with UNKNOWN for the words below ``WORD_SHARE``."""
+    words = pairs.groupBy("b").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    known = store(words.where(_enough(WORD_SHARE, totals)).select(F.col("b").alias("w")), "lm-known")
+    for side in "ab":
+        word = known.select(F.col("w").alias(f"{side}_known"))
+        found = pairs.join(word, F.col(side) == F.col(f"{side}_known"), "left")
+        start = (F.col(side) == START) if side == "a" else F.lit(False)
+        pairs = found.withColumn(side, F.when(start, START).otherwise(F.coalesce(f"{side}_known", F.lit(UNKNOWN))).cast("long"))
+        pairs = pairs.drop(f"{side}_known")
+    return store(pairs, "lm-mapped")
+
+
+def _losses(pairs: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """a, b, c, bits_t, bits_c: bits of every pair under both models, from a, b, t, c."""
+    hot = F.col("hot")
+    kept = F.when(_enough(PAIR_SHARE, totals), 1).otherwise(0)
+    own = [kept * F.greatest(F.col(x) - DISCOUNT, F.lit(0.0)) for x in "tc"]
+    size = F.lit(totals[1] / HOT_SHARE)
+    words = store(pairs.groupBy("b").agg(F.sum("t").alias("word_t"), F.sum("c").alias("word_c"))
+                  .withColumn("hot", F.col("word_c") > size), "lm-words")
+    n = words.where(F.col("b") != UNKNOWN).count() + 1                   # START is never predicted
+    firsts = store(pairs.groupBy("a").agg(F.sum("t").alias("all_t"), F.sum("c").alias("all_c"),
+                                          F.sum(own[0]).alias("own_t"), F.sum(own[1]).alias("own_c"))
+                   .withColumn("hot", F.col("all_c") > size), "lm-firsts")
+    keys = [x for x in pairs.columns if x not in ("a", "t")]
+    rows = _joined(pairs, firsts, "a", hot)
+    shares, rests = [], []
+    for k, x in enumerate("tc"):
+        seen = F.greatest(F.col(f"all_{x}"), F.lit(1))
+        shares.append((own[k] / seen).cast("float").alias(f"share_{x}"))
+        rest = F.least(F.lit(1.0), F.greatest(F.lit(1e-6), 1 - F.col(f"own_{x}") / seen))
+        rests.append(rest.cast("float").alias(f"rest_{x}"))
+    own_a = ["a"] if "k" not in keys else []
+    rows = _joined(rows.select(*keys, *own_a, *shares, *rests), words, "b", hot)
+    bits = [(-F.log2(F.col(f"share_{x}") + F.col(f"rest_{x}") * (F.col(f"word_{x}") + ADD) / (totals[k] + ADD * n)))
+            .cast("float").alias(f"bits_{x}") for k, x in enumerate("tc")]
+    return rows.select(*keys, *own_a, *bits)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality") -> BigramModels:
-    """Both models, counted over every document."""
-    spark = docs.sparkSession
+        label_col: str = "quality") -> tuple[DataFrame, int]:
+    """k, c, bits_t, bits_c of every pair of ``docs`` (stored): its occurrences, and bits under the target and the
+    background model, counted over every document; and the number of tokens."""
     background = docs.select(text_bytes(text_col).alias("text"))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id")).distinct()
     good = store(good.where("id IS NOT NULL"), "lm-good")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text"))
     target = store(rows.where(likely_in(good)(F.col("id"))).join(good.hint("merge"), "id", "left_semi").select("text"),
                    "lm-target")
+    t = counted(target).select("k", "a", "b", F.col("n").alias("t"), F.lit(0).cast("long").alias("c"))
+    c = counted(background).select("k", "a", "b", F.lit(0).cast("long").alias("t"), F.col("n").alias("c"))
+    pairs = store(t.unionByName(c).groupBy("k").agg(F.first("a").alias("a"), F.first("b").alias("b"),
+                                                    F.sum("t").alias("t"), F.sum("c").alias("c")), "lm-pairs")
+    totals = _totals(pairs)
+    if WORD_SHARE * max(totals) <= 1:                                    # every word is known
+        return store(_losses(pairs, totals), "lm-losses").select("k", "c", "bits_t", "bits_c"), totals[1]
+    mapped = _mapped(pairs, totals)
+    merged = store(mapped.groupBy("a", "b").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "lm-merged")
+    losses = _losses(merged, totals).drop("c")
+    return store(mapped.select("k", "a", "b", "c").join(losses, ["a", "b"]).drop("a", "b"), "lm-losses"), totals[1]
+
+
+def text_key(text: str | Column) -> Column:
+    return F.xxhash64(text_bytes(text))
+
+
+def text_scores(docs: DataFrame, labels: DataFrame, text_col: str = "text", **columns: str) -> DataFrame:
+    """key (``text_key``) and r, the struct of ``lm_score``, of every distinct text of ``docs``."""
+    losses, n_tokens = fit(docs, labels, text_col=text_col, **columns)
+    hot = F.col("c") > n_tokens / HOT_SHARE
+    few = losses.where(hot).orderBy("k").toArrow()                       # fewer than HOT_SHARE rows
+    shared = docs.sparkSession.sparkContext.broadcast(HashTable(
+        few["k"].to_numpy().view(np.uint64), np.column_stack([few["bits_t"].to_numpy(), few["bits_c"].to_numpy()])))
 
-    def word_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return word_hashes(LOWER[data], offsets)[0]
-
-    both, t, b = _both(target, background, word_keys, "lm-words")
-    models = BigramModels(_frequent(both, (t, b), WORD_SHARE), (t, b))
-    shared = spark.sparkContext.broadcast(models)
-
-    def pair_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return shared.value.keys(data, offsets)[0]
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            all_keys = batch.column(0).to_numpy()
+            for lo, hi, data, offsets in chunks(batch.column(1)):
+                keys, n = all_keys[lo:hi], hi - lo
+                k, _, _, row = _pairs(data, offsets)
+                at = table.find(k)
+                own, bits = row[at >= 0], table.values[at[at >= 0]]
+                sums = [np.bincount(own, bits[:, x], minlength=n) for x in range(2)]
+                # a document's tokens (as -1 - tokens) and the bits of its frequent pairs
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(signed(mix(keys.view(np.uint64)))), pa.array(-1 - np.bincount(row, minlength=n)),
+                     pa.array(sums[0]), pa.array(sums[1])], ["key", "k", "n", "bits_t", "bits_c"])
+                k, row = k[at < 0], row[at < 0]
+                order = np.lexsort((k, row))
+                k, row = k[order], row[order]
+                new = np.ones(len(k), dtype=bool)
+                new[1:] = (k[1:] != k[:-1]) | (row[1:] != row[:-1])
+                first = np.flatnonzero(new)
+                zeros = np.zeros(len(first))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[row[first]]), pa.array(signed(k[first])), pa.array(np.diff(np.append(first, len(k)))),
+                     pa.array(zeros), pa.array(zeros)], ["key", "k", "n", "bits_t", "bits_c"])
 
-    pairs, t, b = _both(target, background, pair_keys, "lm-pairs")
-    per = pairs.groupBy(F.shiftright("k", 20).alias("w")).agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
-    contexts = np.zeros((models.size, 2))                       # one row per word of the vocabulary
-    contexts[per["w"].to_numpy()] = np.column_stack([per["t"].to_numpy(), per["b"].to_numpy()])
-    models.add_pairs(*_frequent(pairs, (t, b), PAIR_SHARE), contexts)
-    return models
+    found = docs.select(text_key(text_col).alias("key"), text_bytes(text_col).alias("text"))
+    probes = found.mapInArrow(run, "key long, k long, n long, bits_t double, bits_c double")
+    cold = losses.where(~hot).select("k", F.col("bits_t").alias("pair_t"), F.col("bits_c").alias("pair_c"))
+    rows = probes.join(cold.hint("shuffle_hash"), "k", "left")
+    whole = F.col("n") < 0
+    sums = rows.groupBy("key").agg(
+        F.sum(F.when(whole, 1)).alias("rows"), F.max(F.when(whole, -1 - F.col("n"))).alias("n_tokens"),   # equal texts add up
+        *[F.sum(F.when(whole, F.col(f"bits_{x}")).otherwise(F.col("n") * F.col(f"pair_{x}"))).alias(x) for x in "tc"])
+    bits = [F.col(x) / F.greatest(F.col("rows") * F.col("n_tokens"), F.lit(1)) for x in "tc"]
+    return sums.select("key", F.struct(F.col("n_tokens"), bits[0].alias("target_bits"), bits[1].alias("background_bits"),
+                                       (bits[1] - bits[0]).alias("score")).alias("r"))
 
 
-RESULT = "struct<n_tokens:long,target_bits:double,background_bits:double,score:double>"
+def scored(docs: DataFrame, labels: DataFrame, text_col: str = "text", **columns: str) -> DataFrame:
+    """Every row of ``docs``: its columns but the text, and r, the struct of ``lm_score``."""
+    keyed = docs.withColumn("_key", text_key(text_col)).drop(text_col)
+    scores = text_scores(docs, labels, text_col=text_col, **columns).withColumnRenamed("key", "_key")
+    return keyed.join(scores, "_key", "left").drop("_key")
 
 
 def lm_score(docs: DataFrame, labels: DataFrame, text: str | Column = "text", **columns: str) -> Column:
-    """Column of struct<n_tokens, target_bits, background_bits, score>; bits and score are per token."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **columns))
-
-    def run(texts: pa.Array) -> pa.Array:
-        n, bits = [np.zeros(0, np.int64)], [np.zeros((0, 2))]
-        for _, _, data, offsets in chunks(texts):
-            own, sums = shared.value.losses(data, offsets)
-            n.append(own), bits.append(sums / np.maximum(own, 1)[:, None])
-        tokens, mean = np.concatenate(n).astype(np.int64), np.concatenate(bits)
-        return pa.StructArray.from_arrays(
-            [pa.array(tokens), pa.array(mean[:, 0]), pa.array(mean[:, 1]), pa.array(mean[:, 1] - mean[:, 0])],
-            ["n_tokens", "target_bits", "background_bits", "score"])
-
-    return F.arrow_udf(run, RESULT).asNondeterministic()(text_bytes(text))
+    """Column of struct<n_tokens, target_bits, background_bits, score> for texts of ``docs``; bits and score are
+    per token.  ``scored`` is cheaper: it doesn't shuffle the texts for the look-up."""
+    scores = store(text_scores(docs, labels, **columns), "lm-scores")
+    key = text_key((F.col(text) if isinstance(text, str) else text).outer())
+    return scores.where(F.col("key") == key).select(F.first("r")).scalar()

@@ -135,7 +135,7 @@ FROM p
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of each document: like the documents labelled good, or like all."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    done = docs.select("doc_id", lm_scoring.lm_score(docs, labels).alias("r"))
+    done = lm_scoring.scored(docs, labels)
     return done.select("doc_id", "r.n_tokens", "r.target_bits", "r.background_bits", "r.score")
 
 

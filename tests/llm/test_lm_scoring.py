@@ -63,3 +63,16 @@ def test_no_good_labels_and_empty_table(spark):
     assert all(r.score == pytest.approx(r.background_bits - r.target_bits) for r in got)
     empty = messy.documents(spark, [])
     assert empty.select(M.lm_score(empty, messy.labels(spark))).count() == 0
+
+
+def test_model_grows_with_the_input(spark):
+    """Rare words and pairs keep losses of their own at any size: the model has every word and pair."""
+    rows = [(k, "the of " * 5000 + f"rare{k} pair{k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(0, 20, 2)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in docs.select("doc_id", M.lm_score(docs, labels).alias("r")).select("doc_id", "r.score").collect()}
+    assert min(got[k] for k in range(0, 20, 2)) > max(got[k] for k in range(1, 20, 2))
+    assert {r.doc_id: r.score for r in M.scored(docs, labels).select("doc_id", "r.score").collect()} == pytest.approx(got)
+    pairs, n = M.fit(docs, labels)
+    assert n == 20 * 10_002
+    assert pairs.count() == 3 + 20 + 20                  # <s> the, the of, of the; of rare, rare pair
