@@ -5,7 +5,8 @@ texts into a trie (so a copy that holds a third of all rows leaves a task once p
 distinct texts are dealt by (content hash, length), and each reduce task inserts the full byte
 strings into one trie whose terminal nodes hold the preferred identifier and the number of rows.
 A trie above its memory budget spills its largest first-level subtrees to the task's own scratch
-space and resolves them one after the other.  Rows then look up their class by (hash, length,
+space (read again by that task only) and resolves them one after the other, each without the prefix
+that all its keys share: a spilled subtree of one text is written once, however long the text.  Rows then look up their class by (hash, length,
 sha256 of the text); classes of one row need no look-up.
 
 Defined results: null text counts as empty; a null id is preferred last; rows equal in both id
@@ -56,17 +57,20 @@ def _common(a: bytes, b: bytes, at: int) -> int:
 class PatriciaTrie:
     """Compressed radix trie over byte strings; a terminal keeps the preferred owner and a count."""
 
-    def __init__(self, prefer, budget: int | None = None, depth: int = 0):
-        self.prefer, self.budget, self.depth = prefer, budget, depth
+    def __init__(self, prefer, budget: int | None = None):
+        self.prefer, self.budget = prefer, budget
         self.root = _Node(b"")
         self.held: dict[int, int] = {}                 # bytes below each first byte of the root
         self.spilled: dict[int, object] = {}           # first byte -> file of (key, owner, count)
+        self.shared: dict[int, bytes] = {}             # first byte -> prefix of all keys in that file
         self.bytes = 0
 
     def insert(self, key: bytes, owner, count: int) -> None:
         branch = key[0] if key else -1
         if branch in self.spilled:
             pickle.dump((key, owner, count), self.spilled[branch])
+            shared = self.shared[branch]
+            self.shared[branch] = shared[:_common(shared, key, 0)]
             return
         added = self._insert(key, owner, count)
         if added:
@@ -120,25 +124,27 @@ class PatriciaTrie:
             child = self.root.children.pop(branch)
             for item in self._walk(child, child.label):
                 pickle.dump(item, out)
-            self.spilled[branch] = out
+            self.spilled[branch], self.shared[branch] = out, child.label
             self.bytes -= self.held.pop(branch)
 
     def items(self) -> Iterator[tuple[bytes, object, int]]:
         """(key, owner, count) of every distinct key; spilled subtrees come last, one at a time."""
         yield from self._walk(self.root, b"")
         self.root = _Node(b"")
-        for branch, out in self.spilled.items():
+        left = [(self.shared[k], len(self.shared[k]), out) for k, out in self.spilled.items()]
+        while left:
+            prefix, skip, out = left.pop()
             out.seek(0)
-            below = PatriciaTrie(self.prefer, self.budget, self.depth + 1)
+            below = PatriciaTrie(self.prefer, self.budget)
             while True:
                 try:
                     key, owner, count = pickle.load(out)
                 except EOFError:
                     break
-                below.insert(key[1:], owner, count)
+                below.insert(key[skip:], owner, count)
             out.close()
-            for key, owner, count in below.items():
-                yield bytes([branch]) + key, owner, count
+            yield from below._walk(below.root, prefix)
+            left += [(prefix + below.shared[k], len(below.shared[k]), f) for k, f in below.spilled.items()]
 
 
 def _largest(a, b):

@@ -57,3 +57,19 @@ def test_equal_hash_and_length_are_told_apart(spark, monkeypatch):
     for k, t in enumerate([b"same", b"other", b"same", b"some"]):
         trie.insert((X._hash(t)).to_bytes(8, "big") + t, k, 1)
     assert {k[8:]: (o, n) for k, o, n in trie.items()} == {b"same": (2, 2), b"other": (1, 1), b"some": (3, 1)}
+
+
+def test_one_text_above_the_budget():
+    trie, long = X.PatriciaTrie(X._largest, 1000), b"long text " * 20_000
+    keys = [long, b"short", long, long + b"a", long + b"b", long[:-1], b"", long]
+    for k, t in enumerate(keys):
+        trie.insert(t, k, 1)
+    assert trie.spilled
+    assert {key: (o, n) for key, o, n in trie.items()} == {
+        long: (7, 3), b"short": (1, 1), long + b"a": (3, 1), long + b"b": (4, 1), long[:-1]: (5, 1), b"": (6, 1)}
+
+
+def test_single_text_above_the_budget():
+    trie = X.PatriciaTrie(X._largest, 1000)
+    trie.insert(b"x" * 100_000, 1, 1)
+    assert list(trie.items()) == [(b"x" * 100_000, 1, 1)]
