@@ -17,7 +17,7 @@ from ratewise.functions.time import year_of_epoch
 from ratewise.models.als import FactorModel, fit_implicit_als
 from ratewise.models.biased_mf import fit_biased_mf, fit_biases
 from ratewise.models.blocked import topk_dot
-from ratewise.models.bpr import BPRConfig, fit_bpr
+from ratewise.models.bpr import fit_bpr
 from ratewise.models.evaluation import evaluate_families, popularity_sweep, select_run
 from ratewise.models.popularity import PopularityModel
 from ratewise.operators import clean as C
@@ -376,6 +376,9 @@ def dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- factor models (solver-dependent values: row checks only) ----------------------------------
 
+LISTED = {"als": fit_implicit_als, "mf": fit_biased_mf, "bpr": fit_bpr}    # as recommended from and as checked
+
+
 def _recommend_with(model, train, test):
     rel = relevant_items(test)
     recs = model.recommend(rel.select("user_id").distinct(), TOP_K, seen=seen_items(train))
@@ -384,12 +387,12 @@ def _recommend_with(model, train, test):
 
 def als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _recommend_with(fit_implicit_als(train), train, test)
+    return _recommend_with(LISTED["als"](train), train, test)
 
 
 def mf_recommend(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _recommend_with(fit_biased_mf(train), train, test)
+    return _recommend_with(LISTED["mf"](train), train, test)
 
 
 def mf_rating_error(spark: SparkSession, sf: str) -> DataFrame:
@@ -400,7 +403,7 @@ def mf_rating_error(spark: SparkSession, sf: str) -> DataFrame:
 
 def bpr_recommend(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _recommend_with(fit_bpr(train), train, test)
+    return _recommend_with(LISTED["bpr"](train), train, test)
 
 
 
@@ -502,17 +505,17 @@ def _list_checks(model, train: DataFrame, test: DataFrame) -> DataFrame:
 
 def als_list_checks(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _list_checks(fit_implicit_als(train, rank=10, iterations=3), train, test)
+    return _list_checks(LISTED["als"](train), train, test)
 
 
 def mf_list_checks(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _list_checks(fit_biased_mf(train, rank=10, iterations=3), train, test)
+    return _list_checks(LISTED["mf"](train), train, test)
 
 
 def bpr_list_checks(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return _list_checks(fit_bpr(train, BPRConfig(factors=10, rounds=1, local_epochs=5)), train, test)
+    return _list_checks(LISTED["bpr"](train), train, test)
 
 
 def _request_stream(spark: SparkSession, sf: str, metrics, tag: str) -> DataFrame:
