@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -207,10 +208,23 @@ def words(data: np.ndarray, offsets: np.ndarray,
     return start, end, row
 
 
+LONG_WORD = 200                # bytes from which a prefix-sum hash is no safe identity
+
+
+def word_identities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit identities of byte ranges: ``RangeHash``, and a real digest of the long ones, since its sums
+    can agree on long structured ranges (Thue-Morse strings do for every base)."""
+    out = RangeHash(data).of(start, end)
+    for k in np.flatnonzero(end - start >= LONG_WORD):
+        digest = hashlib.blake2b(data[start[k]:end[k]].tobytes(), digest_size=8).digest()
+        out[k] = np.frombuffer(digest, dtype=np.uint64)[0]
+    return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of a chunk, and its row."""
     start, end, row = words(data, offsets)
-    return RangeHash(data).of(start, end), row
+    return word_identities(data, start, end), row
 
 
 def window_hashes(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

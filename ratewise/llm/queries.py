@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, quality, suffix_dedup, toxicity
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, periodic_runs, quality, suffix_dedup, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,32 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _replanted(doc_id: str, text: str) -> Column:
+    """The text, a tenth of the documents (by a hash of the id) with their words repeated periodically from some
+    word on, as op11's contract says; a null id is left as it is."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    ws = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(ws).cast("long")
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    again = F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(F.get(ws, (a + F.pmod(i - a, p)).cast("int"))))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(F.col(text))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, the longest one, and the text with each run cut to one period."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", periodic_runs.periodic_runs(_replanted("doc_id", "text")).alias("r"))
+    best = F.array_min(F.transform("r.runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"),
+                                                               r["period"].alias("period"))))
+    lines = F.transform("r.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("r.runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+                    (-F.col("best.minus")).alias("length"), F.col("best.period").alias("period"),
+                    F.floor(-1000 * F.col("best.minus") / F.col("best.period")).alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform(lines, lambda t: F.concat(t, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2("r.collapsed", 256).alias("collapsed_sha256")))
