@@ -8,7 +8,8 @@ nothing: the suffix array of its words by doubling, and a wavelet tree over it.
 the dyadic blocks (2**k words from a multiple of 2**k on) and gives each its interval of the suffix
 array.  A run of period q holds an aligned block of b words, b <= q < 2b, whose shift by q it holds
 too; so each block asks the wavelet tree for its occurrences in the neighbouring window of starts from
-b to 2b - 1 further on: how many, the first and the second (range successor).  In a window that short
+b to 2b - 1 further on: how many, the first and the second (range successor); blocks with a word that does not recur within
+that distance are passed over.  In a window that short
 the occurrences form one arithmetic progression, and its members are the candidate periods.  Neighbouring
 blocks with one candidate make a chain, which is extended by less than a block at either end.  Levels
 rise, so a run of a smaller period is known before its multiples are looked at, and a stretch that
@@ -116,9 +117,20 @@ def blocks_and_suffixes(text: np.ndarray, longest: int) -> tuple[list[tuple[np.n
     return levels, suffixes
 
 
-def _candidates(tree: WaveletTree, lo: np.ndarray, hi: np.ndarray, width: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of aligned blocks, and the periods that the progressions of their occurrences give."""
-    at = np.flatnonzero(hi - lo > 1)
+def next_distances(text: np.ndarray) -> np.ndarray:
+    """How far on each number occurs again; the length of the text where it does not."""
+    order = np.argsort(text, kind="stable")
+    out = np.full(len(text), len(text), dtype=np.int64)
+    same = np.flatnonzero(text[order[1:]] == text[order[:-1]])
+    out[order[same]] = order[same + 1] - order[same]
+    return out
+
+
+def _candidates(tree: WaveletTree, lo: np.ndarray, hi: np.ndarray, far: np.ndarray, width: int,
+                reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of aligned blocks, and the periods that the progressions of their occurrences give.  ``far``: the
+    largest distance of a block's words to their next occurrence, which no period can be below."""
+    at = np.flatnonzero((hi - lo > 1) & (far < 2 * width))
     lo, hi, at = lo[at], hi[at], at * width
     open_ = reach[at] < at + 2 * width                       # not well inside a run of a smaller period
     lo, hi, at = lo[open_], hi[open_], at[open_]
@@ -173,9 +185,12 @@ def runs(text: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.nda
     tree = WaveletTree(suffixes)
     reach = np.zeros(len(text) + 1, dtype=np.int64)          # how far runs found so far reach that start up to here
     found = []
+    far = next_distances(text)
     for k, (lo, hi) in enumerate(levels):
         width = 1 << k
-        at, period = _candidates(tree, lo, hi, width, reach)
+        if k:
+            far = np.maximum(far[::2], np.append(far[1::2], far[-1:] if len(far) % 2 else far[:0]))
+        at, period = _candidates(tree, lo, hi, far, width, reach)
         if not len(at):
             continue
         order = np.lexsort((at, period))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, mixing, near_dedup, periodic_runs, quality, suffix_dedup, toxicity
+from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, metric_join, mixing, near_dedup
+from ratewise.llm import periodic_runs, quality, suffix_dedup, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,24 +194,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def _replanted(doc_id: str, text: str) -> Column:
-    """The text, a tenth of the documents (by a hash of the id) with their words repeated periodically from some
-    word on, as op11's contract says; a null id is left as it is."""
+def _replanted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text: a tenth of the documents (by a hash of the id) with their words repeated periodically from some
+    word on, as op11's contract says; a null id's text is left as it is."""
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    ws = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    n = F.size(ws).cast("long")
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
-    again = F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(F.get(ws, (a + F.pmod(i - a, p)).cast("int"))))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(F.col(text))
+    found = F.regexp_extract_all(F.col(text), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    split = docs.select(doc_id, text, F.when(h % 10 == 0, found).alias("ws"), F.floor(h / 10).alias("g"))
+    n = F.greatest(F.size("ws"), F.lit(1))
+    places = split.withColumn("a", F.pmod("g", n).cast("int")).withColumn(
+        "p", (1 + F.floor((n - F.col("a")) / (3 + F.pmod("g", F.lit(8))))).cast("int"))
+    rest = n - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("ws", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("ws", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return places.select(doc_id, F.when(F.size("ws") > 0, planted).otherwise(F.col(text)).alias(text))
 
 
 @_query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of each document, the longest one, and the text with each run cut to one period."""
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", periodic_runs.periodic_runs(_replanted("doc_id", "text")).alias("r"))
+    found = _replanted(docs, "doc_id", "text").select("doc_id", periodic_runs.periodic_runs("text").alias("r"))
     best = F.array_min(F.transform("r.runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"),
                                                                r["period"].alias("period"))))
     lines = F.transform("r.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
@@ -220,3 +223,29 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(-1000 * F.col("best.minus") / F.col("best.period")).alias("exponent_milli"),
                     F.sha2(F.array_join(F.transform(lines, lambda t: F.concat(t, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
                     F.sha2("r.collapsed", 256).alias("collapsed_sha256")))
+
+
+@_query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document over links of three-word shingle sets of similarity 0.9 or more."""
+    return metric_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL["op13_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 2], ' ') END) AS h
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i) r WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node),
+m AS (SELECT node, min(root) AS root FROM c GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.node = d.doc_id
+"""
