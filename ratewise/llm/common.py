@@ -85,24 +85,31 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# --- a set of ids as a filter of fixed size ------------------------------------------------------
+# --- a set of ids as a filter --------------------------------------------------------------------
 
-ID_BITS = 22                   # of the filter: 512 KB, whatever the number of ids
+BITS_PER_ID = 16               # of the filter: one id in 16 gets through by chance
+MOST_BITS = 27                 # 16 MB: enough for 8 million ids; beyond, more and more get through
 
 
 def likely_in(ids: DataFrame) -> Callable[[Column], Column]:
     """A test that every id of the one-column ``ids`` passes, and few others: it goes before a join that
-    would otherwise shuffle whole texts.  At most 2 ** ``ID_BITS`` numbers reach the driver."""
-    bucket = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(1 << ID_BITS))
-    bits = np.zeros(1 << ID_BITS, dtype=bool)
-    bits[ids.select(bucket.alias("k")).distinct().toArrow()["k"].to_numpy()] = True
-    shared = ids.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-    def run(buckets: pa.Array) -> pa.Array:
-        k = buckets.to_numpy(zero_copy_only=False)
-        return pa.array((shared.value[k >> 3] >> (7 - (k & 7)) & 1).astype(bool))
-
-    return lambda column: F.arrow_udf(run, "boolean")(F.pmod(F.xxhash64(column.cast("long")), F.lit(1 << ID_BITS)))
+    would otherwise shuffle whole texts.  It grows with the number of ids up to 2 ** ``MOST_BITS`` bits,
+    which reach the driver as packed bitmaps."""
+    ids = ids.select(F.col(ids.columns[0]).cast("long").alias("id"))
+    bits = 1 << min(MOST_BITS, max(16, (BITS_PER_ID * ids.count() - 1).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    maps = (ids.groupBy(F.bitmap_bucket_number(place + 1).alias("bucket"))         # values from 1 on: buckets from 1 on
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits")).toArrow())
+    packed = np.zeros(bits // 8 + 4096, dtype=np.uint8)
+    for bucket, bitmap in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist()):
+        packed[(bucket - 1) * 4096:bucket * 4096] = np.frombuffer(bitmap, dtype=np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(packed)
+
+    def run(places: pa.Array) -> pa.Array:
+        k = places.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[k >> 3] >> (k & 7) & 1).astype(bool))
+
+    return lambda column: F.arrow_udf(run, "boolean")(F.pmod(F.xxhash64(column.cast("long")), F.lit(bits)))
 
 
 # --- text of a batch as arrays ----------------------------------------------------------------

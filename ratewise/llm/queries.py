@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, metric_join, mixing, near_dedup
+from ratewise.llm import bpe, conversation_repair, exact_dedup, langid, line_dedup, lm_scoring, metric_join, mixing, near_dedup
 from ratewise.llm import periodic_runs, quality, suffix_dedup, toxicity
 from ratewise.llm.common import in_training_fold, prepare
 
@@ -225,6 +225,91 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("r.collapsed", 256).alias("collapsed_sha256")))
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """conversations with the damage of op12's contract, by a hash of conversation and turn; ``copies`` is how often a
+    turn stands there (0: dropped)."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(shown("text"), ".!?", "")).otherwise(shown("text"))
+    return turns.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(shown("role")).alias("role"), text.alias("text"),
+                        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"))
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and the repaired turns' hash of each damaged conversation."""
+    turns = _damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(conversation_repair.as_rows(turns, copies="copies")).withColumnRenamed("conv", "conv_id")
+
+
+SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+-- crc32, bit by bit over the key's bytes
+crc AS (
+  SELECT DISTINCT k, 0 AS at, 4294967295::BIGINT AS c FROM raw
+  UNION ALL
+  SELECT k, at + 1, list_reduce([xor(c, ascii(k[at + 1]))::BIGINT, 1, 1, 1, 1, 1, 1, 1, 1],
+                                lambda v, b: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)
+  FROM crc WHERE at < length(k)),
+h AS (SELECT k, xor(c, 4294967295::BIGINT) % 20 AS kind FROM crc WHERE at = length(k)),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
+  FROM raw JOIN h USING (k), LATERAL (SELECT unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy) r),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS r,
+         CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+-- grammar states: 0 nothing yet, 1 after s, 2 after u, 3 after a; ways from one to another by insertions
+ways AS (SELECT * FROM (VALUES (0,0,0),(1,1,0),(2,2,0),(3,3,0),(0,2,1),(1,2,1),(3,2,1),(2,3,1),(0,3,2),(1,3,2),(2,2,2),(3,3,2)) t(a, b, n)),
+letters AS (
+  SELECT * FROM (VALUES ('D',0,0,'',3),('D',1,1,'',3),('D',2,2,'',3),('D',3,3,'',3),
+    ('K',0,1,'s',0),('K',0,2,'u',0),('K',1,2,'u',0),('K',3,2,'u',0),('K',2,3,'a',0),
+    ('R',0,2,'u',2),('R',1,2,'u',2),('R',3,2,'u',2),('R',2,3,'a',2)) t(e, a, b, r, cost)),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit FROM conversations
+  UNION ALL
+  (SELECT w.conv_id, w.i + 1, l.b, w.cost + 2 * y.n + l.cost + CASE WHEN l.e <> 'D' AND f.fault = 3 THEN 1 ELSE 0 END,
+          w.audit || repeat('I', y.n) || l.e
+   FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+        JOIN ways y ON y.a = w.state JOIN letters l ON l.a = y.b
+   WHERE l.e = 'D' OR f.fault IN (0, 3) AND CASE WHEN l.e = 'K' THEN f.r = l.r ELSE f.r <> l.r END
+   QUALIFY row_number() OVER (PARTITION BY w.conv_id, l.b ORDER BY w.cost + 2 * y.n + l.cost
+             + CASE WHEN l.e <> 'D' AND f.fault = 3 THEN 1 ELSE 0 END, w.audit || repeat('I', y.n) || l.e) = 1)),
+counts AS (
+  SELECT c.conv_id, count(f.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+best AS (
+  SELECT w.conv_id, w.cost + 2 * y.n AS cost, w.audit || repeat('I', y.n) AS audit
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN ways y ON y.a = w.state AND y.b IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 2 * y.n, w.audit || repeat('I', y.n)) = 1),
+steps AS (
+  SELECT conv_id, at, audit[at] AS e, length(replace(audit[1:at], 'I', '')) AS i, length(replace(audit[1:at], 'D', '')) AS place
+  FROM best, LATERAL (SELECT unnest(range(1, length(audit) + 1)) AS at) r),
+named AS (
+  SELECT s.conv_id, s.at, s.place, s.e, f.role, f.text,
+         max(CASE WHEN s.e = 'K' AND s.place = 1 AND f.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS lead
+  FROM steps s LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i AND s.e IN ('K', 'R') WHERE s.e <> 'D'),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role ELSE CASE WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+                             || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY at) AS body
+  FROM named GROUP BY conv_id)
+SELECT c.conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, b.cost::BIGINT AS cost, b.audit,
+       sha256(coalesce(l.body, '')) AS repaired_sha256
+FROM counts c JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 @_query
 def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of each document over links of three-word shingle sets of similarity 0.9 or more."""
