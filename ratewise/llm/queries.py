@@ -250,12 +250,12 @@ WITH RECURSIVE raw AS (
          coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
 -- crc32, bit by bit over the key's bytes
 crc AS (
-  SELECT DISTINCT k, 0 AS at, 4294967295::BIGINT AS c FROM raw
+  SELECT DISTINCT k, 0 AS pos, 4294967295::BIGINT AS c FROM raw
   UNION ALL
-  SELECT k, at + 1, list_reduce([xor(c, ascii(k[at + 1]))::BIGINT, 1, 1, 1, 1, 1, 1, 1, 1],
+  SELECT k, pos + 1, list_reduce([xor(c, ascii(k[pos + 1]))::BIGINT, 1, 1, 1, 1, 1, 1, 1, 1],
                                 lambda v, b: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)
-  FROM crc WHERE at < length(k)),
-h AS (SELECT k, xor(c, 4294967295::BIGINT) % 20 AS kind FROM crc WHERE at = length(k)),
+  FROM crc WHERE pos < length(k)),
+h AS (SELECT k, xor(c, 4294967295::BIGINT) % 20 AS kind FROM crc WHERE pos = length(k)),
 damaged AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, copy
@@ -294,15 +294,15 @@ best AS (
   FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN ways y ON y.a = w.state AND y.b IN (0, 3)
   QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 2 * y.n, w.audit || repeat('I', y.n)) = 1),
 steps AS (
-  SELECT conv_id, at, audit[at] AS e, length(replace(audit[1:at], 'I', '')) AS i, length(replace(audit[1:at], 'D', '')) AS place
-  FROM best, LATERAL (SELECT unnest(range(1, length(audit) + 1)) AS at) r),
+  SELECT conv_id, pos, audit[pos] AS e, length(replace(audit[1:pos], 'I', '')) AS i, length(replace(audit[1:pos], 'D', '')) AS place
+  FROM best, LATERAL (SELECT unnest(range(1, length(audit) + 1)) AS pos) r),
 named AS (
-  SELECT s.conv_id, s.at, s.place, s.e, f.role, f.text,
+  SELECT s.conv_id, s.pos, s.place, s.e, f.role, f.text,
          max(CASE WHEN s.e = 'K' AND s.place = 1 AND f.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY s.conv_id) AS lead
   FROM steps s LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i AND s.e IN ('K', 'R') WHERE s.e <> 'D'),
 lines AS (
   SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role ELSE CASE WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END END
-                             || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY at) AS body
+                             || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS body
   FROM named GROUP BY conv_id)
 SELECT c.conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, b.cost::BIGINT AS cost, b.audit,
        sha256(coalesce(l.body, '')) AS repaired_sha256
