@@ -79,17 +79,21 @@ class PpmModel:
             below = self._bits(keys & np.uint64((1 << (8 * order)) - 1), order - 1, width) if order else np.full((len(keys), width), 8.0)
             for k in range(width):
                 o = per[k][order]
-                i = np.searchsorted(o["ctx"], ctxs)
-                i_ok = (i < len(o["ctx"])) & (o["ctx"][np.minimum(i, len(o["ctx"]) - 1)] == ctxs)
-                total = np.where(i_ok, o["total"][np.minimum(i, len(o["ctx"]) - 1)], 0).astype(float)
-                distinct = np.where(i_ok, o["distinct"][np.minimum(i, len(o["ctx"]) - 1)], 0).astype(float)
+                i_ok, total, distinct = np.zeros(len(ctxs), dtype=bool), np.zeros(len(ctxs)), np.zeros(len(ctxs))
+                if len(o["ctx"]):                            # none where all of a language's texts are shorter than the order
+                    i = np.minimum(np.searchsorted(o["ctx"], ctxs), len(o["ctx"]) - 1)
+                    i_ok = o["ctx"][i] == ctxs
+                    total = np.where(i_ok, o["total"][i], 0).astype(float)
+                    distinct = np.where(i_ok, o["distinct"][i], 0).astype(float)
                 escape[:, k] = np.where(i_ok, -np.log2(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0.0)
                 own = np.searchsorted(ctxs, keys >> np.uint64(8))
-                j = np.minimum(np.searchsorted(o["g"], keys), len(o["g"]) - 1)
-                seen = o["g"][j] == keys
+                seen, met = np.zeros(len(keys), dtype=bool), np.ones(len(keys))
+                if len(o["g"]):
+                    j = np.minimum(np.searchsorted(o["g"], keys), len(o["g"]) - 1)
+                    seen = o["g"][j] == keys
+                    met = np.where(seen, o["c"][j], 1)
                 denominator = (total + distinct)[own]
-                bits[:, k] = np.where(seen, np.log2(np.maximum(denominator, 1) / np.where(seen, o["c"][j], 1)),
-                                      escape[own, k] + below[:, k])
+                bits[:, k] = np.where(seen, np.log2(np.maximum(denominator, 1) / met), escape[own, k] + below[:, k])
             self.contexts.append(HashTable(ctxs, escape))
             self.grams.append(HashTable(keys, bits))
 

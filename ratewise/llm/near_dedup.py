@@ -12,14 +12,16 @@ uniform sample of it).  So each document lists only the rarest values, all but i
 ones, and a document with fewer than s values that occur elsewhere has no partner at all.  This keeps
 passages that many documents share out of the lists.
 
-Which pairs are tested: no list is expanded into all its pairs.  In a star round every document of a
-list meets the list's most central one (whose retained values occur most often elsewhere: the text
-that the copies of a group were made from, if it is there), which joins groups of copies at linear
-cost (``STARS`` above 1 adds rounds for the lists that still hold several components, with the most
-central document outside the list's main component).  At last the documents outside the main component meet all
-documents of other components.  Pairs that their sizes rule out, the number of shingles that other
-candidates have too, or the measured intersections with the list's central document, are left out at once; pairs inside a component are never made, no list and no
-partner is left out.
+Which pairs are tested: no list is expanded into all its pairs.  In a star round documents of a list meet
+its leads.  The first round has one, the most central document (whose retained values occur most often
+elsewhere: the text that the copies of a group were made from, if it is there), which joins groups of
+copies at linear cost.  Each further round takes the lists that still hold several components, and
+``LEADS`` times as many of their most central documents as leads; only the documents outside a list's main
+component meet them.  A list is done when it holds one component, or when all its documents have been leads.  So a
+group whose members are linked at random is one component after a few leads each, and only documents that
+stay unlinked meet the rest of their lists.  Pairs that their sizes rule out, the number of shingles that
+other candidates have too, or the measured intersections with the list's central document, are left out at
+once; pairs inside a component are never made, no list and no partner is left out.
 
 Defined results: null or word-less text has an empty set and stays alone; fewer than five words form
 one shingle; rows of equal id count as one node; a null id is linked with nothing; other columns are
@@ -33,7 +35,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import LOWER, chunks, likely_in, mix, signed, store, text_bytes, window_hashes, word_hashes
@@ -42,7 +44,7 @@ from ratewise.llm.components import components
 WIDTH = 5                   # words a shingle
 PERCENT = 75                # 100 * intersection >= PERCENT * union
 SKETCH = 64                 # retained values
-STARS = 1                   # star rounds
+LEADS = 8                   # times as many leads in each further star round
 LEAST_SHARED = 28           # of them shared at least by a pair at the threshold
 
 
@@ -172,25 +174,26 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
     tested: DataFrame | None = None
     links: DataFrame | None = None
     lists = lists.withColumn("p", F.lit(None).cast("long"))
-    open_lists = lists.withColumn("c", F.col("id"))          # lists that hold several components
-    for k in range(STARS):
-        outside = open_lists.where("c <> main") if k else open_lists
-        lead = (outside.groupBy("v").agg(F.max(F.struct("central", (-F.col("id")).alias("o"), "id", "n", "m", "c", "p")).alias("t"))
-                .select("v", *[F.col(f"t.{x}").alias(f"{x}_a") for x in CARRIED]))
-        pairs = store(_pairs(open_lists, lead, tested), "near-stars")
+    now = lists.withColumn("c", F.col("id")).withColumn("main", F.lit(None).cast("long"))    # open lists
+    order = Window.partitionBy("v").orderBy(F.col("central").desc(), "id")
+    before, leads = 0, 1
+    while True:
+        outside = now.where(F.col("main").isNull() | (F.col("c") != F.col("main")))
+        lead = (now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leads).where(F.col("place") > before)
+                .select("v", *[F.col(x).alias(f"{x}_a") for x in CARRIED]))
+        pairs = store(_pairs(outside, lead, tested), "near-stars")
         measured = _measured(pairs, sketches, sets)
         own = measured.where("linked").select("a", "b")
         links = own if links is None else links.unionByName(own)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if not k:
+        if leads == 1:
             lists = _with_pivot(lists, lead, measured)
-        open_lists = _open(lists, components(links))
-    # a pair that stands in several lists is made in the smallest of them only; there, too, one of both is
-    # outside the main component
-    minor = open_lists.where("c <> main").select("v", F.col("own").alias("own_a"), *[F.col(x).alias(f"{x}_a") for x in CARRIED])
-    once = (F.col("v") == F.array_min(F.array_intersect("own", "own_a"))) & ((F.col("c") == F.col("main")) | (F.col("id_a") < F.col("id")))
-    rest = store(_pairs(open_lists, minor, tested, once), "near-rest")
-    return components(links.unionByName(_measured(rest, sketches, sets).where("linked").select("a", "b")))
+        more = now.groupBy("v").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > leads + int(leads == 1)).select("v")
+        found = components(links)
+        now = _open(lists.join(more, "v", "left_semi"), found)
+        if now.isEmpty():
+            return found
+        before, leads = leads, leads * LEADS
 
 
 CARRIED = ("id", "n", "m", "c", "p")
@@ -204,7 +207,7 @@ def _with_pivot(lists: DataFrame, lead: DataFrame, measured: DataFrame) -> DataF
                  .select("v", "id", "n", "central", "own", "m", F.col("both").alias("p")), "near-lists")
 
 
-def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None, only: Column | None = None) -> DataFrame:
+def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None) -> DataFrame:
     """a, b: the leads of each list with its documents of other components, but those that can't be linked.
 
     An intersection i of sets of sizes n and n_a needs (100 + P) * i >= P * (n + n_a).  It is at most the
@@ -216,7 +219,6 @@ def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None, only: C
     most = F.when(F.col("p").isNull() | F.col("p_a").isNull(), most).otherwise(F.least(most, beside))
     fits = (100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("n_a"))
     made = lists.join(leads, "v").where((F.col("c") != F.col("c_a")) & fits)
-    made = made if only is None else made.where(only)
     pairs = (made.select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 

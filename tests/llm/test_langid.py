@@ -75,3 +75,9 @@ def test_rejected_documents_go(spark):
     kept = P.keep_known(docs)
     assert kept.columns == docs.columns
     assert kept.count() == sum(r[1] is not None and any(c.isalpha() for c in r[1]) for r in messy.rows())
+
+
+def test_language_with_tiny_texts_only():
+    """All texts of a language shorter than the longest context: its long contexts are empty."""
+    model = P.PpmModel({"aa": [b"a", b"ab", b"abc"], "en": [b"the quick brown fox jumps over the lazy dog"] * 3})
+    assert model is not None

@@ -84,3 +84,31 @@ def test_components(spark, edges):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     assert got == {n: r for n, r in root.items() if n != r}
+
+
+@pytest.mark.parametrize("copies", [200, 800])
+def test_dense_group_below_the_threshold_meets_few_pairs(spark, monkeypatch, copies):
+    """Copies of one template with edits of their own, similar by about 0.71: a sixth of the pairs are links."""
+    rng = random.Random(copies)
+    words = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
+    data = []
+    for k in range(copies):
+        own = list(words)
+        for place in rng.sample(range(300), 5):
+            own[place] = f"e{k}x{place}"
+        data.append((k, " ".join(own), "en", "s", 0))
+    made = []
+    pairs = N._pairs
+
+    def counted(*args):
+        out = pairs(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "_pairs", counted)
+    got = N.near_duplicates(messy.documents(spark, data)).collect()
+    assert sum(made) <= 100 * copies
+    if copies == 200:
+        assert sorted([tuple(r) for r in got], key=str) == brute(data)
+    else:
+        assert {r.component_id for r in got} == {0}
