@@ -1,6 +1,7 @@
 """Served-recommendation event log: JSON lines read, appended, published.
 
-* ``read_event_log`` -- schema'd JSON scan; a missing path means "no events"
+* ``read_event_log`` -- schema'd JSON scan of appended files and of the committed writes of drains
+  (``commits``); a missing path means "no events"
   (empty typed frame, not an error); malformed lines are kept in
   ``_corrupt_record`` (PERMISSIVE) and counted, or fail the job (FAILFAST);
   an absent ``movie_ids`` becomes an empty list.
@@ -13,13 +14,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.json import well_formed
 from ratewise.operators.sizing import materialise
 from ratewise.schemas import EVENT, EVENT_WITH_CORRUPT
+from ratewise.sources.commits import visible_paths
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
@@ -30,14 +31,9 @@ def read_event_log(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
                    keep_corrupt: bool = False) -> DataFrame:
     """Event log as typed rows; ``_corrupt_record`` kept only when asked."""
     schema = EVENT_WITH_CORRUPT if mode == "PERMISSIVE" else EVENT
-    try:
-        df = (spark.read.schema(schema).option("mode", mode)
-              .option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("recursiveFileLookup", "true").json(path))  # a drain writes one folder per batch
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":  # a missing path: nothing drained yet
-            raise
-        df = _empty(spark, schema)
+    paths = visible_paths(spark, path)      # a log that is not there yet has none
+    df = (spark.read.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", "_corrupt_record").json(paths)
+          if paths else _empty(spark, schema))
     df = df.withColumn("movie_ids", F.coalesce("movie_ids", F.array().cast("array<bigint>")))
     if mode == "PERMISSIVE" and not keep_corrupt:
         # the size() term keeps a parsed column in the scan: Spark refuses scans
