@@ -35,6 +35,7 @@ from ratewise.operators.snapshot import monitoring_snapshot
 from ratewise.operators.split import relevant_items, seen_items, split_frames, tag_temporal_split
 from ratewise.operators.weighting import bm25_weights
 from ratewise.plans import bridge as B
+from ratewise.plans import stream_queries
 from ratewise.sources.eventlog import event_records, parse_event_lines, read_event_log, to_json_lines
 from ratewise.sources.manifest import file_manifest
 from ratewise.streaming.concentration import read_item_counts, run_item_counts
@@ -617,4 +618,5 @@ CATALOGUE = {
     "served_concentration": served_concentration,
     "served_drift_tests": served_drift_tests,
     "served_drift_status": served_drift_status,
+    **stream_queries.QUERIES,
 }

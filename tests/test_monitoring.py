@@ -29,9 +29,10 @@ def _summary(spark, path):
 
 def test_counts_total_share(spark, scratch):
     path = f"{scratch}/log.jsonl"
-    _write_log(path, [{"movie_ids": [101, 102]}, {"movie_ids": [101]}, {"movie_ids": [103, 101]}])
+    served = [[58, 7, 58], [7], [], [913, 58, 22, 58]]                 # repeats inside a list count, too
+    _write_log(path, [{"movie_ids": ids} for ids in served])
     freq, total, share = _summary(spark, path)
-    assert freq == {101: 3, 102: 1, 103: 1} and total == 5 and share == pytest.approx(0.6)
+    assert freq == {58: 4, 7: 2, 913: 1, 22: 1} and total == 8 and share == pytest.approx(1 / 2)
 
 
 def test_missing_and_empty_log(spark, scratch):
@@ -42,34 +43,34 @@ def test_missing_and_empty_log(spark, scratch):
 
 def test_uniform_share(spark, scratch):
     path = f"{scratch}/u.jsonl"
-    _write_log(path, [{"movie_ids": [101]}, {"movie_ids": [102]}])
-    assert _summary(spark, path)[2] == pytest.approx(0.5)
+    _write_log(path, [{"movie_ids": list(range(30, 37))}] * 3)
+    assert _summary(spark, path)[2] == pytest.approx(1 / 7)
 
 
 def test_flatten_missing_field_and_corrupt_line(spark, scratch):
     path = f"{scratch}/f.jsonl"
-    _write_log(path, [{"movie_ids": [1, 2, 3]}, {"movie_ids": [4, 5]}, {"user_id": 9}], extra_lines=["{not json"])
+    _write_log(path, [{"movie_ids": [64]}, {"user_id": 70}, {"movie_ids": [12, 64, 8, 31]}], extra_lines=['{"movie_ids": [5'])
     ids = sorted(r[0] for r in recommended_ids(read_event_log(spark, path)).collect())
-    assert ids == [1, 2, 3, 4, 5]
+    assert ids == [8, 12, 31, 64, 64]
     assert corrupt_count(spark, path).first()["corrupt_lines"] == 1
 
 
 def _stats(spark):
-    return spark.createDataFrame([(1, 10, 3.5), (2, 20, 4.0)],
+    return spark.createDataFrame([(41, 6, 2.75), (46, 130, 4.5), (52, 17, 3.25)],
                                  "movie_id long, movie_rating_count long, movie_avg_rating double")
 
 
 def test_current_population_keeps_multiplicity_drops_unknown(spark):
-    events = spark.createDataFrame([([1, 2, 999, 1],)], "movie_ids array<bigint>")
+    events = spark.createDataFrame([([52, -3, 41, 52],), ([77],), ([52],)], "movie_ids array<bigint>")
     cur = current_population(events, _stats(spark))
-    assert cur.count() == 3 and cur.columns == ["movie_rating_count", "movie_avg_rating"]
+    assert sorted(r.movie_rating_count for r in cur.collect()) == [6, 17, 17, 17] and cur.columns == ["movie_rating_count", "movie_avg_rating"]
 
 
 def test_insufficient_data(spark):
-    events = spark.createDataFrame([([1, 2],)], "movie_ids array<bigint>")
+    events = spark.createDataFrame([([46, 52, 46],), ([41, 46, 8],)], "movie_ids array<bigint>")
     stats = _stats(spark)
     st = drift_status(column_tests(stats.drop("movie_id"), current_population(events, stats))).first()
-    assert st["status"] == "insufficient_data" and st["n_samples"] == 2
+    assert st["status"] == "insufficient_data" and st["n_samples"] == 5
     assert st["dataset_drift"] is False and st["drift_share"] == 0.0
 
 
@@ -118,13 +119,13 @@ def test_min_samples_boundary(spark, n, ok):
 def test_snapshot_defaults_and_values(spark):
     none = monitoring_snapshot(spark, None, None).first()
     assert tuple(none) == (0, 0.0, 0, 0.0)
-    drift = spark.createDataFrame([(True, 0.5, 1, 480, "ok")],
+    drift = spark.createDataFrame([(False, 0.25, 1, 1311, "ok")],
                                   "dataset_drift boolean, drift_share double, number_of_drifted_columns int,"
                                   " n_samples long, status string")
-    freq = spark.createDataFrame([(10, 3, 3, 0.3)], "total long, distinct_items long, top_count long,"
+    freq = spark.createDataFrame([(64, 9, 24, 0.375)], "total long, distinct_items long, top_count long,"
                                  " top_movie_share double")
     snap = monitoring_snapshot(spark, drift, freq).first()
-    assert tuple(snap) == (1, 0.5, 480, 0.3)
+    assert tuple(snap) == (0, 0.25, 1311, 0.375)
 
 
 def test_empty_current_population(spark, scratch):
