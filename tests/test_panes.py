@@ -8,7 +8,7 @@ from ratewise.operators import panes as P
 from ratewise.sources import commits
 from ratewise.streaming.panes import compact, late_count, read_late, read_panes, read_windows, run_panes
 
-BASE = 1_700_000_000
+BASE = 1_700_000_040           # a whole minute
 
 
 def requests(spark, rows):
