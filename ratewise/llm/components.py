@@ -34,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
     now = store(links.where("a <> b").distinct(), "links")
     before = None
     for _ in range(MAX_STEPS):
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before or not state[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state

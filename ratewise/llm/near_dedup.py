@@ -16,8 +16,8 @@ Which pairs are tested: no list is expanded into all its pairs.  In a star round
 its leads.  The first round has one, the most central document (whose retained values occur most often
 elsewhere: the text that the copies of a group were made from, if it is there), which joins groups of
 copies at linear cost.  Each further round takes the lists that still hold several components, and
-``LEADS`` times as many of their most central documents as leads; only the documents outside a list's main
-component meet them.  A list is done when it holds one component, or when all its documents have been leads.  So a
+``LEADS`` times as many of their most central documents as leads (the square of that after a round that linked nothing, as the components stay as they were); only the
+documents outside a list's main component meet them.  A list is done when it holds one component, or when all its documents have been leads.  So a
 group whose members are linked at random is one component after a few leads each, and only documents that
 stay unlinked meet the rest of their lists.  Pairs that their sizes rule out, the number of shingles that
 other candidates have too, or the measured intersections with the list's central document, are left out at
@@ -176,7 +176,7 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
     lists = lists.withColumn("p", F.lit(None).cast("long"))
     now = lists.withColumn("c", F.col("id")).withColumn("main", F.lit(None).cast("long"))    # open lists
     order = Window.partitionBy("v").orderBy(F.col("central").desc(), "id")
-    before, leads = 0, 1
+    before, leads, found = 0, 1, None
     while True:
         outside = now.where(F.col("main").isNull() | (F.col("c") != F.col("main")))
         lead = (now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leads).where(F.col("place") > before)
@@ -189,11 +189,15 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
         if leads == 1:
             lists = _with_pivot(lists, lead, measured)
         more = now.groupBy("v").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > leads + int(leads == 1)).select("v")
-        found = components(links)
-        now = _open(lists.join(more, "v", "left_semi"), found)
+        fresh = found is None or not own.isEmpty()
+        if fresh:
+            found = components(links)
+            now = _open(lists.join(more, "v", "left_semi"), found)
+        else:                                               # same components: only exhausted lists go
+            now = store(now.join(more, "v", "left_semi"), "near-open")
         if now.isEmpty():
             return found
-        before, leads = leads, leads * LEADS
+        before, leads = leads, leads * (LEADS if fresh else LEADS ** 2)
 
 
 CARRIED = ("id", "n", "m", "c", "p")
