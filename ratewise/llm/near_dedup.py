@@ -164,17 +164,18 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
            .withColumn("spare", F.size("vs") - need + 1).where("spare > 0")
            .withColumn("central", F.aggregate("vs", F.lit(0.0), lambda w, e: w + F.log2(e["df"]))))
     per = per.withColumn("own", F.transform(F.slice("vs", F.lit(1), F.greatest(F.lit(0), F.col("spare").cast("int"))), lambda e: e["v"]))
-    lists = store(per.select("id", "n", "central", "own", F.explode("own").alias("v")), "near-lists")
-    ids = lists.select("id").distinct()
+    listed = store(per.where(F.size("own") > 0).select("id", "n", "central", "own"), "near-listed")
+    ids = listed.select("id").distinct()
     sets = store(full_sets(docs, ids, id_col, text_col).dropDuplicates(["id", "n"]), "near-sets")
-    lists = store(lists.join(_elsewhere(sets), "id"), "near-lists")
-    ids = lists.select("id").distinct()
+    listed = store(listed.join(_elsewhere(sets), "id"), "near-listed")
+    ids = listed.select("id").distinct()
     sketches = store(marks.select("id", "sketch").join(ids, "id", "left_semi"), "near-sketches")
 
     tested: DataFrame | None = None
     links: DataFrame | None = None
-    lists = lists.withColumn("p", F.lit(None).cast("long"))
-    now = lists.withColumn("c", F.col("id")).withColumn("main", F.lit(None).cast("long"))    # open lists
+    none = F.lit(None).cast("long")
+    now = listed.select("id", "n", "central", "m", F.explode("own").alias("v"), none.alias("p"), F.col("id").alias("c"),
+                        none.alias("main"))                                                 # open lists
     order = Window.partitionBy("v").orderBy(F.col("central").desc(), "id")
     before, leads, found = 0, 1, None
     while True:
@@ -187,12 +188,12 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
         links = own if links is None else links.unionByName(own)
         tested = pairs if tested is None else tested.unionByName(pairs)
         if leads == 1:
-            lists = _with_pivot(lists, lead, measured)
+            listed = _with_pivot(now, lead, measured)
         more = now.groupBy("v").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > leads + int(leads == 1)).select("v")
         fresh = found is None or not own.isEmpty()
         if fresh:
             found = components(links)
-            now = _open(lists.join(more, "v", "left_semi"), found)
+            now = _open(listed, found, more)
         else:                                               # same components: only exhausted lists go
             now = store(now.join(more, "v", "left_semi"), "near-open")
         if now.isEmpty():
@@ -204,11 +205,12 @@ CARRIED = ("id", "n", "m", "c", "p")
 
 
 def _with_pivot(lists: DataFrame, lead: DataFrame, measured: DataFrame) -> DataFrame:
-    """The lists with p, the size of each document's intersection with its list's lead where it was measured."""
+    """One row a document with its lists (v, p); p, the size of its intersection with the list's lead, where it was
+    measured."""
     led = lists.drop("p").join(lead.select("v", "id_a"), "v")
     led = led.withColumn("a", F.least("id", "id_a")).withColumn("b", F.greatest("id", "id_a"))
-    return store(led.join(measured.select("a", "b", "both"), ["a", "b"], "left")
-                 .select("v", "id", "n", "central", "own", "m", F.col("both").alias("p")), "near-lists")
+    return store(led.join(measured.select("a", "b", "both"), ["a", "b"], "left").groupBy("id", "n", "central", "m")
+                 .agg(F.collect_list(F.struct("v", F.col("both").alias("p"))).alias("held")), "near-lists")
 
 
 def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None) -> DataFrame:
@@ -236,9 +238,11 @@ def _elsewhere(sets: DataFrame) -> DataFrame:
             .where(100 * F.col("m") >= PERCENT * F.col("n")).select("id", "m"))
 
 
-def _open(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists that hold several components, each row with its component ``c`` and the list's largest, ``main``."""
-    whole = lists.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("root", "id")).drop("root")
+def _open(listed: DataFrame, found: DataFrame, more: DataFrame) -> DataFrame:
+    """The lists of ``more`` that hold several components, a row for each document with its component ``c`` and the
+    list's largest, ``main``.  Components are joined to documents, before these are spread over their lists."""
+    placed = listed.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("root", "id"))
+    whole = placed.select("id", "n", "central", "m", "c", F.inline("held")).join(more, "v", "left_semi")
     parts = whole.groupBy("v", "c").agg(F.count(F.lit(1)).alias("rows"))
     main = (parts.groupBy("v").agg(F.max(F.struct("rows", "c")).alias("top"), F.count(F.lit(1)).alias("parts"))
             .where("parts > 1").select("v", F.col("top.c").alias("main")))
