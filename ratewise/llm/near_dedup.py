@@ -44,7 +44,7 @@ from ratewise.llm.components import components
 WIDTH = 5                   # words a shingle
 PERCENT = 75                # 100 * intersection >= PERCENT * union
 SKETCH = 64                 # retained values
-LEADS = 8                   # times as many leads in each further star round
+LEADS = 16                  # times as many leads in each further star round
 LEAST_SHARED = 28           # of them shared at least by a pair at the threshold
 
 
@@ -182,6 +182,8 @@ def near_links(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) ->
         outside = now.where(F.col("main").isNull() | (F.col("c") != F.col("main")))
         lead = (now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leads).where(F.col("place") > before)
                 .select("v", *[F.col(x).alias(f"{x}_a") for x in CARRIED]))
+        if leads > 1:
+            outside, lead = _with_lists(outside, "id"), _with_lists(lead, "id_a")
         pairs = store(_pairs(outside, lead, tested), "near-stars")
         measured = _measured(pairs, sketches, sets)
         own = measured.where("linked").select("a", "b")
@@ -213,8 +215,15 @@ def _with_pivot(lists: DataFrame, lead: DataFrame, measured: DataFrame) -> DataF
                  .agg(F.collect_list(F.struct("v", F.col("both").alias("p"))).alias("held")), "near-lists")
 
 
+def _with_lists(rows: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with the lists ``in_<id>`` that hold a document among them, at most as many as its retained values."""
+    lists = rows.groupBy(id_col).agg(F.array_sort(F.collect_set("v")).alias(f"in_{id_col}"))
+    return rows.join(lists, id_col)
+
+
 def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None) -> DataFrame:
     """a, b: the leads of each list with its documents of other components, but those that can't be linked.
+    With their lists (``_with_lists``) a document and a lead meet in the first list that they share only.
 
     An intersection i of sets of sizes n and n_a needs (100 + P) * i >= P * (n + n_a).  It is at most the
     smaller of the sets, and of m, their shingles that other candidates have too.  What both have in common
@@ -224,7 +233,10 @@ def _pairs(lists: DataFrame, leads: DataFrame, tested: DataFrame | None) -> Data
     beside = F.least("p", "p_a") + F.least(F.col("m") - F.col("p"), F.col("m_a") - F.col("p_a"))
     most = F.when(F.col("p").isNull() | F.col("p_a").isNull(), most).otherwise(F.least(most, beside))
     fits = (100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("n_a"))
-    made = lists.join(leads, "v").where((F.col("c") != F.col("c_a")) & fits)
+    fits = (F.col("c") != F.col("c_a")) & fits
+    if "in_id" in lists.columns:
+        fits = fits & (F.col("v") == F.array_min(F.array_intersect("in_id", "in_id_a")))
+    made = lists.join(leads, "v").where(fits)
     pairs = (made.select(F.least("id_a", "id").alias("a"), F.greatest("id_a", "id").alias("b")).distinct())
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 

@@ -2,8 +2,8 @@ import random
 
 import pytest
 
+from ratewise.llm import components as K
 from ratewise.llm import near_dedup as N
-from ratewise.llm.components import components
 import messy
 
 
@@ -75,10 +75,12 @@ def test_one_row_of_each_component_stays(spark):
     assert N.drop_near_duplicates(messy.documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("one_task", [K.ONE_TASK, 0, 3])
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(k, k + 1) for k in range(30)], [(0, k) for k in range(1, 40)],
                                    [(5, 5), (9, 3), (3, 9), (7, 1), (1, 3), (20, 21)]])
-def test_components(spark, edges):
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+def test_components(spark, monkeypatch, edges, one_task):
+    monkeypatch.setattr(K, "ONE_TASK", one_task)
+    got = {r.node: r.root for r in K.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     root = {n: n for e in edges for n in e}
     for _ in root:
         for a, b in edges:
