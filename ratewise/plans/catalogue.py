@@ -19,6 +19,7 @@ from ratewise.models.biased_mf import fit_biased_mf, fit_biases
 from ratewise.models.blocked import topk_dot
 from ratewise.models.bpr import fit_bpr
 from ratewise.models.evaluation import evaluate_families, popularity_sweep, select_run
+from ratewise.models.norm_index import topk_by_norm
 from ratewise.models.popularity import PopularityModel
 from ratewise.operators import clean as C
 from ratewise.operators.concentration import concentration, item_frequency
@@ -292,6 +293,22 @@ def factor_topk(spark: SparkSession, sf: str) -> DataFrame:
     return top.select("user_id", "item_id", "rank", _r("score"))
 
 
+def factor_topk_by_norm(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists of ``factor_topk`` from the norm-ordered index, which skips what norms rule out."""
+    vectors = B.factors(spark, sf)
+    itself = vectors.select(F.col("id").alias("user_id"), F.col("id").alias("item_id"))
+    return topk_by_norm(vectors, vectors, TOP_K, seen=itself).top.select("user_id", "item_id", "rank", _r("score"))
+
+
+def als_norm_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of ALS factors that the norm-ordered index could have scored and those that it scored for every
+    user's list, a row a round."""
+    train, _ = _split(spark, sf)
+    model = fit_implicit_als(train)
+    pairs = seen_items(train).select("user_id", F.col("movie_id").alias("item_id"))
+    return topk_by_norm(model.user_factors, model.item_factors, TOP_K, seen=pairs).cells
+
+
 # -- model runs ------------------------------------------------------------------------------
 
 SWEEP = (1, 5, 10, 20, 40)
@@ -600,6 +617,8 @@ CATALOGUE = {
     "title_lookup": title_lookup,
     "batch_serve": batch_serve,
     "factor_topk": factor_topk,
+    "factor_topk_by_norm": factor_topk_by_norm,
+    "als_norm_cells": als_norm_cells,
     "evaluation_runs": evaluation_runs,
     "latest_run_per_family": latest_run_per_family,
     "best_model": best_model,

@@ -384,6 +384,7 @@ SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score
                                      i.vec_id) AS rank
   FROM embeddings u JOIN embeddings i ON u.vec_id <> i.vec_id)
 WHERE rank <= 10"""
+SQL["factor_topk_by_norm"] = SQL["factor_topk"]
 
 # -- model runs ---------------------------------------------------------------------------
 
