@@ -10,6 +10,7 @@ these definitions (the DuckDB oracle inlines the same ones as CTEs):
 * users        -- customer: segment and nation;
 * event log    -- one served list per order: the order's parts, as JSON text;
 * requests     -- ``events``: k from ``props``, latency = value;
+* run history  -- one run per order: family = priority, start = order date, recall = price (none for pending orders);
 * factors      -- ``embeddings``: every vector is both a user and an item (itself excluded).
 """
 
@@ -114,3 +115,17 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     and as an item, and its own id is the one "seen" item to skip."""
     emb = table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+
+
+RUN_HISTORY = "run_id string, family string, start_time long, recall_at_10 double"
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long runs table of several families, with runs without the metric: one run per order, with the order's year."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        F.col("o_orderpriority").alias("family"),
+        epoch_seconds("o_orderdate").alias("start_time"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 1e6).alias("recall_at_10"),
+        F.year("o_orderdate").alias("year"),
+    )

@@ -39,6 +39,7 @@ from ratewise.plans import bridge as B
 from ratewise.plans import stream_queries
 from ratewise.sources.eventlog import event_records, parse_event_lines, read_event_log, to_json_lines
 from ratewise.sources.manifest import file_manifest
+from ratewise.sources.selection import history, promote
 from ratewise.streaming.concentration import read_item_counts, run_item_counts
 from ratewise.streaming.drain import drain, event_stream
 from ratewise.streaming.windows import (run_to_parquet, windowed_error_rate, windowed_latency, windowed_request_rate,
@@ -336,6 +337,19 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+def latest_runs_of_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest run of each family among the newest runs of a long table of several families."""
+    return latest_per_family(B.run_history(spark, sf)).select("run_id", "family", "start_time", _r("recall_at_10"))
+
+
+def selection_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions that promoting makes of a long runs table, when it is done at the end of every year."""
+    runs, folder = B.run_history(spark, sf), _scratch(spark, "selection")
+    for (year,) in runs.select("year").distinct().orderBy("year").collect():        # one promotion a year
+        promote(spark, lambda: runs.where(F.col("year") <= year).drop("year"), select_run, folder)
+    return history(spark, folder, B.RUN_HISTORY).select("version", "previous", "run_id", "family", "start_time", _r("recall_at_10"))
+
+
 # -- streaming and manifests -----------------------------------------------------------------
 
 def _scratch(spark, tag):
@@ -622,6 +636,8 @@ CATALOGUE = {
     "evaluation_runs": evaluation_runs,
     "latest_run_per_family": latest_run_per_family,
     "best_model": best_model,
+    "latest_runs_of_history": latest_runs_of_history,
+    "selection_versions": selection_versions,
     "stream_drain": stream_drain,
     "stream_request_rate": stream_request_rate,
     "dataset_manifest": dataset_manifest,

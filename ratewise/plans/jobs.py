@@ -28,6 +28,7 @@ from ratewise.operators.split import split_frames, tag_temporal_split
 from ratewise.sources.delimited import read_movies, read_ratings, read_users
 from ratewise.sources.eventlog import corrupt_count, event_records, publish_events, read_event_log, write_status
 from ratewise.sources.files import load_columns, write_csv, write_parquet
+from ratewise.sources.selection import append_runs, promote, read_runs
 from ratewise.streaming.drain import drain
 
 
@@ -55,8 +56,9 @@ def train_and_select(spark: SparkSession, features_path: str, runs_path: str, mo
                      test_frac: float = 0.2, k: int = 10) -> DataFrame:
     """Evaluate the four families on one split, append the runs, select over the stored runs.
 
-    Every run's model is saved under ``<model_dir>/runs/<run_id>``; the selection reads the whole runs table
-    (look-back and latest-per-family rule), so an earlier training's run can win.  Returns the selected run.
+    Every run's model is saved under ``<model_dir>/runs/<run_id>`` before its run is listed; the selection reads the
+    whole runs table (look-back and latest-per-family rule), so an earlier training's run can win.  It is promoted to
+    the next version below ``<model_dir>/selection``; trainings may run at the same time.  Returns the selected run.
     """
     ratings = load_columns(spark, features_path, ["user_id", "movie_id", "rating", "timestamp"])
     train, test = split_frames(materialise(tag_temporal_split(ratings, test_frac), "split"))
@@ -64,10 +66,9 @@ def train_and_select(spark: SparkSession, features_path: str, runs_path: str, mo
     runs = evaluate_families(train, test, k, models)
     for row in runs.select("run_id", "family").collect():       # one row per family
         models[row["family"]].save(f"{model_dir}/runs/{row['run_id']}")
-    runs.write.mode("append").parquet(runs_path)
-    chosen = select_run(spark.read.parquet(runs_path), k)
-    chosen.coalesce(1).write.mode("overwrite").json(f"{model_dir}/selected")
-    return chosen
+    append_runs(runs, runs_path)
+    made = promote(spark, lambda: read_runs(spark, runs_path), lambda stored: select_run(stored, k), f"{model_dir}/selection")
+    return read_runs(spark, runs_path).where(F.col("run_id") == (made["run_id"] if made else None))
 
 
 def serve(requests: DataFrame, topk: DataFrame, catalog: DataFrame, fmt: str = "json", path: str | None = None,

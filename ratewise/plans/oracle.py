@@ -447,6 +447,24 @@ WHERE rn_ = 1 AND recall_at_10 IS NOT NULL
 ORDER BY recall_at_10 DESC, start_time DESC, run_id DESC LIMIT 1"""
 
 
+_HISTORY = """
+WITH runs AS (SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderpriority AS family, CAST(epoch(o_orderdate) AS BIGINT) AS start_time,
+                     CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 1e6 END AS recall, year(o_orderdate) AS y FROM orders),
+ys AS (SELECT DISTINCT y AS upto FROM runs),
+recent AS (SELECT *, row_number() OVER (PARTITION BY upto ORDER BY start_time DESC, run_id DESC) AS place
+           FROM ys JOIN runs ON y <= upto),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY upto, family ORDER BY start_time DESC, run_id DESC) AS of_family
+                          FROM recent WHERE place <= 50) WHERE of_family = 1 AND family IS NOT NULL),
+best AS (SELECT *, row_number() OVER (PARTITION BY upto ORDER BY recall DESC, start_time DESC, run_id DESC) AS b
+         FROM latest WHERE recall IS NOT NULL),
+chosen AS (SELECT *, lag(run_id) OVER (ORDER BY upto) AS previous FROM best WHERE b = 1)
+"""
+SQL["latest_runs_of_history"] = _HISTORY + """
+SELECT run_id, family, start_time, round(recall, 6) AS recall_at_10 FROM latest WHERE upto = (SELECT max(upto) FROM ys)"""
+SQL["selection_versions"] = _HISTORY + """
+SELECT CAST(row_number() OVER (ORDER BY upto) AS INTEGER) AS version, previous, run_id, family, start_time,
+       round(recall, 6) AS recall_at_10 FROM chosen WHERE previous IS DISTINCT FROM run_id"""
+
 # -- streaming and manifests ---------------------------------------------------------------
 
 SQL["stream_drain"] = with_ctes("""

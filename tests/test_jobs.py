@@ -78,13 +78,14 @@ def test_serve_publishes_and_drains_into_the_log(spark, scratch):
 
 def test_selection_over_two_trainings(spark, scratch):
     from ratewise.plans.jobs import train_and_select
+    from ratewise.sources.selection import read_runs, selection
     rng = random.Random(8)
     rows = [(u, m, 1 + (u * m + rng.randint(0, 2)) % 5, 900 + 13 * u + 7 * m)
             for u in range(20, 30) for m in range(40, 58) if (u * 5 + m * 3) % 4]
     spark.createDataFrame(rows, "user_id int, movie_id int, rating int, timestamp long").write.parquet(f"{scratch}/features")
     for _ in range(2):
         chosen = train_and_select(spark, f"{scratch}/features", f"{scratch}/runs", f"{scratch}/model").collect()
-    runs = spark.read.parquet(f"{scratch}/runs").toPandas()
+    runs = read_runs(spark, f"{scratch}/runs").toPandas()
     assert len(runs) == 8 and runs.run_id.is_unique
     assert sorted(set(runs.family)) == ["als", "bpr", "popularity_baseline", "svd"]
     assert runs[runs.family.isin(["als", "bpr"])].rmse.isna().all()
@@ -92,3 +93,4 @@ def test_selection_over_two_trainings(spark, scratch):
     assert len(chosen) == 1 and chosen[0].run_id in set(latest.run_id)
     assert chosen[0].recall_at_10 == latest.recall_at_10.max()
     assert all(os.path.isdir(f"{scratch}/model/runs/{r}") for r in runs.run_id)
+    assert selection(spark, f"{scratch}/model/selection")["run_id"] == chosen[0].run_id
