@@ -243,16 +243,18 @@ def drift_status_report(spark: SparkSession, sf: str) -> DataFrame:
 def drift_from_summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Drift from stored summaries of the log's yearly batches: merged PSI, and whether the merged KS lies within its
     stated bound of the exact one.  The last batch is stored twice, as after a restart."""
-    stats, events = _item_stats(spark, sf), _events(spark, sf)
+    stats = materialise(_item_stats(spark, sf), "stats")
     reference, folder = materialise(reference_summary(stats.select(*FEATURES)), "reference"), _scratch(spark, "summaries")
-    dated = events.withColumn("batch", F.year(F.timestamp_seconds("timestamp")))
-    summaries = materialise(batch_summary(batch_population(dated, stats, ["batch"]), reference, ["batch"]), "batches")
+    dated = _events(spark, sf).withColumn("batch", F.year(F.timestamp_seconds("timestamp")))
+    # read by the summaries and by the exact tests: a row a recommendation
+    population = materialise(batch_population(dated, stats, ["batch"]), "population")
+    summaries = materialise(batch_summary(population, reference, ["batch"]), "batches")
     years = [r.batch for r in summaries.select("batch").distinct().orderBy("batch").collect()]      # a number a batch
     for year in years + years[-1:]:
         store_summary(summaries.where(F.col("batch") == year), folder, "drain", year)
     kept = read_summaries(spark, folder)
     tests = merged_tests(reference, kept)
-    exact = _drift_tests(spark, sf).select("feature", F.col("ks").alias("exact"))
+    exact = column_tests(stats.select(*FEATURES), population.select(*FEATURES)).select("feature", F.col("ks").alias("exact"))
     batches = kept.groupBy("feature").agg(F.count(F.lit(1)).alias("batches"))
     return tests.join(exact, "feature").join(batches, "feature").select(
         "feature", "batches", "n_ref", "n_cur", _r("psi"), (F.abs(F.col("ks") - F.col("exact")) <= F.col("ks_error")).alias("ks_within_bound"))
