@@ -68,3 +68,30 @@ def test_without_labels_only_the_base_rules_decide(spark):
     assert Q.fit_forest(docs, none) is None
     assert docs.select(Q.quality(docs, none).alias("r")).where(F.col("r.kept") == F.col("r.base_failed")).count() == 0
     assert messy.documents(spark, []).select(Q.quality(docs, none)).count() == 0
+
+
+def test_every_labelled_row_sets_the_threshold_and_fills_the_trees(spark):
+    """One odd good row among many more labelled rows than any sample held moves both."""
+    import random
+    text = messy.prose(random.Random(1), messy.EN, 80)
+    junk_text = junk(3)
+    data = [(k, junk_text if k % 50 == 0 else text, "en", "s", 0) for k in range(9000)]
+    labels = spark.createDataFrame([(k, int(k % 50 > 0)) for k in range(9000)], "doc_id long, quality int")
+    rows = Q._labelled(messy.documents(spark, data), labels, "doc_id", "text", "quality")
+    assert rows.count() == 9000
+    forest, threshold = Q.fit_forest(messy.documents(spark, data), labels)
+    n_grow = rows.where("grow AND good").count()
+    assert forest.scale == float(Q.IsolationForest._rest(n_grow))
+    scores = forest.score(Q.features(Q._counts_of(pa.array([text.encode(), junk_text.encode()], pa.binary()))))
+    assert scores[0] <= threshold < scores[1]
+
+
+def test_threshold_is_the_best_cut(spark):
+    rng = np.random.default_rng(2)
+    scores, good = np.round(rng.random(500), 2), rng.random(500) < 0.6
+    scores = np.where(good, scores * 0.9, scores)
+    got = Q.calibrated(spark.createDataFrame(list(zip(scores.tolist(), good.tolist())), "score double, good boolean"))
+    def gain(t):
+        return (scores[~good] > t).mean() - Q.GOOD_COST * (scores[good] > t).mean()
+    assert np.isclose(gain(got), max(gain(t) for t in [-1, *scores]))
+    assert Q.calibrated(spark.createDataFrame([(0.5, True), (0.1, False)], "score double, good boolean")) == float("inf")
