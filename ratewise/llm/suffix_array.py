@@ -1,7 +1,7 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
-Level 0 (bytes) induces a whole bucket at a time with array operations; the string of substring
-names that it leaves is sorted recursively, one symbol at a time.
+Bytes are induced a whole bucket at a time with array operations; the string of substring names that
+this leaves is sorted by prefix doubling.
 """
 
 from __future__ import annotations
@@ -121,7 +121,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     order = tail_only[is_lms[tail_only]]
     names, kinds = _names(t, lms, order)
     if kinds < len(lms):
-        order = lms[np.array(_sorted_suffixes(names.tolist(), kinds), dtype=np.int64)]
+        order = lms[_sorted_suffixes(names, kinds)]
     return _with_sentinel(_induce(t, s_type, order, sizes), len(t))[1:]
 
 
@@ -131,67 +131,28 @@ def _with_sentinel(sa: np.ndarray, n: int) -> np.ndarray:
     return sa
 
 
-def _sorted_suffixes(text: list[int], symbols: int) -> list[int]:
-    """Suffix array of a string whose last symbol is its single smallest one, by induced sorting."""
+def _sorted_suffixes(text: np.ndarray, symbols: int) -> np.ndarray:
+    """Suffix array of a string over 0 .. ``symbols`` - 1 whose last symbol is its single smallest one, by
+    prefix doubling; a round sorts only the suffixes that are not told apart yet."""
     n = len(text)
-    if symbols == n:
-        out = [0] * n
-        for i, c in enumerate(text):
-            out[c] = i
-        return out
-    smaller = bytearray(n)                      # S-type
-    smaller[n - 1] = 1
-    for i in range(n - 2, -1, -1):
-        if text[i] < text[i + 1] or text[i] == text[i + 1] and smaller[i + 1]:
-            smaller[i] = 1
-    sizes = [0] * symbols
-    for c in text:
-        sizes[c] += 1
-    starts, ends, total = [0] * symbols, [0] * symbols, 0
-    for c, k in enumerate(sizes):
-        starts[c] = total
-        total += k
-        ends[c] = total
-    left = [i for i in range(1, n) if smaller[i] and not smaller[i - 1]]
-
-    def induce(seeds: list[int]) -> list[int]:
-        sa = [-1] * n
-        tail = ends[:]
-        for i in reversed(seeds):
-            tail[text[i]] -= 1
-            sa[tail[text[i]]] = i
-        head = starts[:]
-        for k in range(n):
-            i = sa[k] - 1
-            if i >= 0 and not smaller[i]:
-                c = text[i]
-                sa[head[c]] = i
-                head[c] += 1
-        tail = ends[:]
-        for k in range(n - 1, -1, -1):
-            i = sa[k] - 1
-            if i >= 0 and smaller[i]:
-                c = text[i]
-                tail[c] -= 1
-                sa[tail[c]] = i
-        sa[0] = n - 1
-        return sa
-
-    if len(left) < 2:
-        return induce(left)
-    is_left = bytearray(n)
-    for i in left:
-        is_left[i] = 1
-    after = dict(zip(left, left[1:] + [n - 1]))
-    name, names, last = -1, {}, None
-    for i in induce(left):
-        if is_left[i]:
-            own = text[i:after[i] + 1]
-            if own != last or i == n - 1:
-                name += 1
-            names[i], last = name, own
-    reduced = [names[i] for i in left]
-    return induce([left[k] for k in _sorted_suffixes(reduced, name + 1)])
+    sizes = np.bincount(text, minlength=symbols)
+    sa = np.argsort(text, kind="stable")
+    rank = (np.cumsum(sizes) - sizes)[text]                   # first place of the suffix's group
+    places = np.flatnonzero(sizes[text[sa]] > 1)              # of suffixes that share a group
+    known = 1                                                 # symbols that the groups agree on
+    while len(places):
+        own = sa[places]                                      # their first symbols don't reach the last one,
+        key = rank[own] * n + rank[own + known]               # so own + known is inside
+        order = np.argsort(key, kind="stable")
+        own, key = own[order], key[order]
+        sa[places] = own
+        first = np.append(True, key[1:] != key[:-1])
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(key)))
+        rank[own] = np.repeat(places[starts], sizes)
+        places = places[np.repeat(sizes > 1, sizes)]
+        known *= 2
+    return sa
 
 
 def permuted_common_prefixes(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:

@@ -32,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import CHUNK_BYTES, RangeHash, mix, signed, store, text_bytes
+from ratewise.llm.common import RangeHash, mix, signed, store, text_bytes
 from ratewise.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 LENGTH = 200
 GRAM = 48
 SEGMENT = 1 << 19           # starts of a long document looked at together
 SHARD_BYTES = 1 << 20
+SCAN_BYTES = 1 << 17         # text looked at together: its arrays stay in a core's cache
 HOT_SHARE = 20_000
 REACH = 38                  # bytes a step to the left or right of an anchor
 FILTER_BITS = 24            # of the anchors' prefilter (a fixed 2 MB a map)
@@ -59,11 +60,9 @@ class Occurrences:
         n = len(data)
         if n < length:
             return
-        grams = n - GRAM + 1
-        at = np.arange(grams)
-        gram = self.hashes.of(at, at + GRAM)
+        gram = self.hashes.windows(GRAM)
         bits = np.uint64(max(1, int(n).bit_length()))
-        key = (gram >> bits << bits) | at.astype(np.uint64)         # leftmost among equals
+        key = (gram >> bits << bits) | np.arange(len(gram), dtype=np.uint64)     # leftmost among equals
         width = length - GRAM + 1
         low = _sliding_min(key, width)                              # by start
         piece = np.repeat(np.arange(len(pieces) - 1), np.diff(pieces))[:len(low)]
@@ -111,14 +110,14 @@ class Occurrences:
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` values."""
-    n = len(x)
-    if n < width:
+    if len(x) < width:
         return np.zeros(0, x.dtype)
-    pad = -n % width
-    blocks = np.concatenate([x, np.full(pad, np.iinfo(x.dtype).max, x.dtype)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n - width + 1], ahead[width - 1:n])
+    span = 1
+    while 2 * span <= width:
+        x = np.minimum(x[:-span], x[span:])
+        span *= 2
+    rest = width - span
+    return np.minimum(x[:len(x) - rest], x[rest:])
 
 
 def _pieces(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -131,7 +130,7 @@ def _pieces(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarr
             part = data[lo:lo + SEGMENT + length - 1]
             held.append(part), rows.append(row), places.append(lo)
             size += len(part)
-            if size >= CHUNK_BYTES:
+            if size >= SCAN_BYTES:
                 yield np.concatenate(held), np.cumsum([0, *map(len, held)]), np.array(rows), np.array(places)
                 held, rows, places, size = [], [], [], 0
     if held:
@@ -229,19 +228,34 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
     def is_mixed(anchor: np.ndarray) -> np.ndarray:
         return _likely(share.value[1], anchor) & ~is_hot(anchor)
 
-    # steps around mixed anchors that stand more than once
+    # starts of hot anchors, one by one
+    def string_hashes(found):
+        pick = np.flatnonzero(is_hot(found.anchor))
+        n = found.starts[pick]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(found.start[pick], n) + within
+        return (np.repeat(pick, n), within, found.hashes.of(start, start + length), found.hashes.of(start, start + length // 2))
+
+    # steps around mixed anchors (kind 1) and strings of hot ones (kind 2) that stand more than once
     def steps(found, batch, of, at):
         pick = np.flatnonzero(is_mixed(found.anchor))
-        keys = [key[there] for _, _, there, key in found.steps(pick)]
         if len(pick):
-            k, n = np.unique(np.concatenate(keys), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(n)], ["h", "n"])
+            k, n = np.unique(np.concatenate([key[there] for _, _, there, key in found.steps(pick)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(np.zeros(len(k), np.int64)), pa.array(n),
+                                              pa.array(np.full(len(k), 1, np.int32))], ["h", "c", "n", "kind"])
+        _, _, x, y = string_hashes(found)
+        if len(x):
+            one, n = _folded(x, y)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(x[one])), pa.array(signed(y[one])), pa.array(n),
+                                              pa.array(np.full(len(n), 2, np.int32))], ["h", "c", "n", "kind"])
 
-    twice = _scan(rows, length, steps, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    reached = spark.sparkContext.broadcast(_filter(twice))
+    met = _scan(rows, length, steps, "h long, c long, n long, kind int").groupBy("h", "c", "kind").agg(F.sum("n").alias("n"))
+    twice = store(met.where("n > 1").select("h", "c", "kind"), "suffix-twice")
+    strings = twice.where("kind = 2")
+    reached = spark.sparkContext.broadcast((_filter(twice.where("kind = 1")), _filter(strings)))
 
     def may_be_met(key: np.ndarray) -> np.ndarray:
-        return _likely(reached.value, key)
+        return _likely(reached.value[0], key)
 
     # distinct trimmed contexts of mixed anchors -> shards
     def contexts(found, batch, of, at):
@@ -283,9 +297,10 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
                      .mapInArrow(sort_shards, "h long, c long, first long, n long")).select("*", F.lit(1).alias("kind"))
     alike = again.where("c = c_max").select("h", "c", F.lit(0).cast("long").alias("first"),
                                             F.lit(None).cast("long").alias("n"), F.lit(0).alias("kind"))
-    verdicts = store(sorted_shards.unionByName(alike), "suffix-verdicts")
+    single = strings.select("h", "c", F.lit(0).cast("long").alias("first"), F.lit(None).cast("long").alias("n"), "kind")
+    verdicts = store(sorted_shards.unionByName(alike).unionByName(single), "suffix-verdicts")
 
-    # occurrences, as they are (kind 0) and trimmed (kind 1), with their verdict
+    # occurrences, as they are (kind 0) and trimmed (kind 1), and strings of hot anchors (kind 2), with their verdict
     def occurrences(found, batch, of, at):
         mixed = is_mixed(found.anchor)
         own = np.flatnonzero(_likely(share.value[0], found.anchor) & ~is_hot(found.anchor))
@@ -301,42 +316,19 @@ def repeated_starts(rows: DataFrame, length: int) -> DataFrame:
                  pa.array(np.repeat([0, 1], [len(own), len(pick)]).astype(np.int32))],
                 ["id", "key", "h", "c", "at", "all", "kind"])
 
-    cold = (_scan(rows, length, occurrences, "id long, key long, h long, c long, at long, all long, kind int")
-            .join(verdicts, ["h", "c", "kind"])
-            .select("id", "key", (F.col("at") + F.col("first")).alias("at"), F.coalesce("n", "all").alias("n")))
-    if not len(hot):
-        return cold
-
-    # starts of hot anchors, one by one
-    def string_hashes(found):
-        pick = np.flatnonzero(is_hot(found.anchor))
-        n = found.starts[pick]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        start = np.repeat(found.start[pick], n) + within
-        return (np.repeat(pick, n), within, found.hashes.of(start, start + length), found.hashes.of(start, start + length // 2))
-
-    def count_strings(found, batch, of, at):
-        _, _, x, y = string_hashes(found)
-        if len(x):
-            one, n = _folded(x, y)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(x[one])), pa.array(signed(y[one])), pa.array(n)], ["x", "y", "m"])
-
-    strings = _scan(rows, length, count_strings, "x long, y long, m long").groupBy("x", "y").agg(F.sum("m").alias("m"))
-    repeated = store(strings.where("m > 1").select("x", "y"), "suffix-hot")
-    likely = spark.sparkContext.broadcast(_filter(repeated.select(F.col("x").alias("h"))))
-
-    def place_strings(found, batch, of, at):
-        pick, within, x, y = string_hashes(found)
-        ok = np.flatnonzero(_likely(likely.value, x)) if len(x) else np.zeros(0, np.int64)
+        of_string, within, x, y = string_hashes(found)
+        ok = np.flatnonzero(_likely(reached.value[1], x)) if len(x) else np.zeros(0, np.int64)
         if len(ok):
-            take = pa.array(of[pick[ok]])
+            own = of_string[ok]
+            take = pa.array(of[own])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(signed(x[ok])), pa.array(signed(y[ok])),
-                 pa.array(at[pick[ok]] + within[ok])], ["id", "key", "x", "y", "at"])
+                 pa.array(at[own] + within[ok]), pa.array(np.ones(len(ok), np.int64)),
+                 pa.array(np.full(len(ok), 2, np.int32))], ["id", "key", "h", "c", "at", "all", "kind"])
 
-    single = _scan(rows, length, place_strings, "id long, key long, x long, y long, at long")
-    warm = single.join(repeated, ["x", "y"], "left_semi")
-    return cold.unionByName(warm.select("id", "key", "at", F.lit(1).cast("long").alias("n")))
+    return (_scan(rows, length, occurrences, "id long, key long, h long, c long, at long, all long, kind int")
+            .join(verdicts, ["h", "c", "kind"])
+            .select("id", "key", (F.col("at") + F.col("first")).alias("at"), F.coalesce("n", "all").alias("n")))
 
 
 def _runs(mask: np.ndarray) -> list[tuple[int, int]]:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from ratewise.llm import suffix_dedup as S
-from ratewise.llm.suffix_array import permuted_common_prefixes, suffix_array
+from ratewise.llm.suffix_array import _sorted_suffixes, permuted_common_prefixes, suffix_array
 import messy
 
 
@@ -74,3 +74,27 @@ def test_suffix_arrays_and_prefixes_match_brute_force():
             while max(a, b) + n < len(t) and t[a + n] == t[b + n]:
                 n += 1
             assert common[b] == min(n, limit)
+
+
+def test_texts_are_scanned_four_times_with_hot_anchors_too(spark, monkeypatch):
+    """Counts, steps and strings of hot anchors, contexts, occurrences: one pass each, whatever anchors are hot."""
+    monkeypatch.setattr(S, "HOT_SHARE", 60)
+    passes, scan = [], S._scan
+
+    def counting(*args):
+        passes.append(args[2].__name__)
+        return scan(*args)
+
+    monkeypatch.setattr(S, "_scan", counting)
+    assert run(messy.documents(spark, data()), 200) == brute(data(), 200)
+    assert len(passes) == 4
+
+
+def test_names_are_sorted_without_a_step_a_symbol():
+    """The names' suffixes are sorted by array operations: repeats of any period take a few rounds."""
+    rng = np.random.default_rng(3)
+    for period in (1, 2, 7, 500):
+        text = np.append(np.tile(rng.integers(1, 4, period), 3000 // period), 0)
+        sa = _sorted_suffixes(text, 4)
+        assert isinstance(sa, np.ndarray)
+        assert sa.tolist() == sorted(range(len(text)), key=lambda k: text[k:].tolist())
