@@ -76,3 +76,18 @@ def test_model_grows_with_the_input(spark):
     pairs, n = M.fit(docs, labels)
     assert n == 20 * 10_002
     assert pairs.count() == 3 + 20 + 20                  # <s> the, the of, of the; of rare, rare pair
+
+
+@pytest.mark.parametrize("block, part, frequent", [(4 << 20, 500_000, 2_000), (300, 40, 20)])
+def test_whole_model_writes_no_row_a_pair(spark, monkeypatch, block, part, frequent):
+    """Nothing is left out: losses match brute force with one block and part and with many, from packed counts."""
+    monkeypatch.setattr(M, "BLOCK_BYTES", block)
+    monkeypatch.setattr(M, "PART_TOKENS", part)
+    monkeypatch.setattr(M, "FREQUENT_SHARE", frequent)
+    monkeypatch.setattr(M, "counted", None)              # it makes a row a pair
+    docs, labels = messy.documents(spark).select("doc_id", "text"), messy.labels(spark)
+    good = {r.doc_id for r in labels.where("quality = 1").collect()} - {None}
+    got = M.scored(docs, labels).select("doc_id", "r.*").collect()
+    got = sorted([(r.doc_id, r.n_tokens, r.target_bits, r.background_bits) for r in got], key=lambda x: (str(x[0]), x[1:]))
+    for a, b in zip(got, brute(messy.rows(), good), strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-5, abs=1e-5)
